@@ -129,19 +129,36 @@ def _words(n_cat: int) -> int:
 class Aim:
     """What a plan asks of the calibration: size, and shares within components, as linear rows of the indicators."""
 
-    def __init__(self, size: float, groups: list[list[tuple[int, float, bool]]], n_cat: int):
-        """``groups``: per component its (category, share, pool is too small)."""
-        self.rows, self.base = np.zeros((n_cat + 1, n_cat + 1)), np.zeros(n_cat + 1)
-        self.rows[0, 0], self.size = 1.0, size
-        for group in groups:
-            usual = [(c, s) for c, s, short in group if not short]
+    def __init__(self, size: float, groups: list[list[tuple[int, float, bool, int]]], n_cat: int):
+        """``groups``: per component its (category, share, pool is too small, least count)."""
+        self.groups, self.size, self.n_cat = groups, size, n_cat
+        self.least = {c: m for g in groups for c, _, _, m in g}
+        self.pinned: set[int] = set()
+        self.base = np.zeros(n_cat + 1)
+        for c, short in [(c, short) for g in groups for c, _, short, _ in g]:
+            self.base[c + 1] = SHORT if short else COMPLETE
+        self._set()
+
+    def _set(self) -> None:
+        self.rows, self.target = np.zeros((self.n_cat + 1, self.n_cat + 1)), np.zeros(self.n_cat + 1)
+        self.rows[0, 0], self.target[0] = 1.0, self.size
+        for c in self.pinned:
+            self.rows[c + 1, c + 1], self.target[c + 1] = 1.0, self.least[c]
+        for group in self.groups:
+            usual = [(c, s) for c, s, short, _ in group if not short and c not in self.pinned]
             whole = sum(s for _, s in usual) or 1.0
             for c, s in usual:
                 self.rows[c + 1, c + 1] = 1.0
                 for other, _ in usual:
                     self.rows[c + 1, other + 1] -= s / whole
-            for c, _, short in group:
-                self.base[c + 1] = SHORT if short else COMPLETE
+
+    def pin(self, expected: np.ndarray) -> bool:
+        """Categories expected below their least count get that count as their aim instead of their share."""
+        below = {c for c, m in self.least.items() if expected[c + 1] < m - 0.5} - self.pinned
+        self.pinned |= below
+        if below:
+            self._set()
+        return bool(below)
 
     def factors(self, lam: np.ndarray) -> np.ndarray:
         return self.rows.T @ lam + self.base
@@ -157,7 +174,7 @@ def calibrate(cells: DataFrame, n_cat: int, aims: dict[int, Aim], rounds: int =
     words = [f"m{w}" for w in range(_words(n_cat))]
     ridge = {k: np.r_[1e-6, np.full(n_cat, RIDGE * max(1.0, a.size))] for k, a in aims.items()}
     live = set(aims)
-    for _ in range(rounds):
+    for turn in range(rounds):
         now = {k: aims[k].factors(lam[k]) for k in live}
 
         def part(batches: Iterator[pd.DataFrame], now: dict[int, np.ndarray] = now) -> Iterator[pd.DataFrame]:
@@ -173,10 +190,14 @@ def calibrate(cells: DataFrame, n_cat: int, aims: dict[int, Aim], rounds: int =
 
         sums = cells.mapInPandas(part, "k int, g binary, h binary").collect()
         for k in list(live):
+            expected = sum((np.frombuffer(r["g"]) for r in sums if r["k"] == k), np.zeros(d))
             rows = aims[k].rows
-            g = rows @ sum((np.frombuffer(r["g"]) for r in sums if r["k"] == k), np.zeros(d)) + ridge[k] * lam[k]
-            g[0] -= aims[k].size
-            if np.abs(g).max() < 0.3:
+            g = rows @ expected + ridge[k] * lam[k] - aims[k].target
+            near = np.abs(g).max() < 0.3
+            if (near or turn % 10 == 9) and aims[k].pin(expected):
+                rows = aims[k].rows
+                g = rows @ expected + ridge[k] * lam[k] - aims[k].target
+            elif near:
                 live.discard(k)
                 continue
             h = rows @ sum((np.frombuffer(r["h"]).reshape(d, d) for r in sums if r["k"] == k), np.zeros((d, d))) @ rows.T + np.diag(ridge[k])
@@ -352,8 +373,8 @@ def sample_to_plan(units: DataFrame, plan: list[dict], cats: list[tuple[str, str
         for r in lines:
             c = code[(r["component"], r["category"])]
             asked = max(float(r["min_count"] or 0), float(r["target_share"] or 0) * size)
-            groups.setdefault(r["component"], []).append((c, float(r["target_share"] or 0), pool.get(c, 0) < asked))
-            least.append((k, c, min(int(r["min_count"] or 0), pool.get(c, 0))))
+            groups.setdefault(r["component"], []).append((c, float(r["target_share"] or 0), pool.get(c, 0) < asked, min(int(r["min_count"] or 0), pool.get(c, 0))))
+            least.append((k, *groups[r["component"]][-1][::3]))
         aims[k] = Aim(min(size, 0.999 * n_units), list(groups.values()), n_cat)
     drawn = stored(draw(units, cells, n_cat, aims, "unit", seed), "drawn") if aims and n_units else spark.createDataFrame([], "plan_id int, unit string, " + ", ".join(f"{w} long" for w in words))
     # repair: a small category that ended below its minimum takes the first units, in random order, that are not in
