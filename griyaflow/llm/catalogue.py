@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from griyaflow.llm import canonical_queries, document_queries, overlap_queries, sample_queries, split_queries
+from griyaflow.llm import canonical_queries, document_queries, overlap_queries, pii_queries, sample_queries, split_queries
 
-_MODULES = (sample_queries, split_queries, overlap_queries, canonical_queries, document_queries)
+_MODULES = (sample_queries, split_queries, overlap_queries, canonical_queries, document_queries, pii_queries)
 
 
 def queries() -> dict:
