@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from griyaflow.functions.keys import blank_to_null, house_key, split_name
-from griyaflow.runtime import drop_stored, stored
+from griyaflow.operators.components import contract
+from griyaflow.runtime import stored
 
 NULL_GROUPS = ("unknown", "none", "nan")
 BUCKETS = 1024
@@ -44,32 +45,6 @@ def _id(col: Column) -> Column:
     return F.unhex(F.md5(col))
 
 
-def contract(edges: DataFrame) -> DataFrame:
-    """(v, label) for every vertex of an undirected edge table (u, v): equal labels within a component."""
-    rounds: list[DataFrame] = []
-    now = stored(edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
-    while now.take(1):
-        seed = F.lit(len(rounds)).cast("long")
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        toss = lambda c: F.struct(F.xxhash64(c, seed).alias("t"), F.col(c).alias("to"))
-        chosen = both.groupBy("u").agg(F.min(toss("v")).alias("m")).filter(F.col("m") < toss("u")).select("u", "m.to")
-        moves = stored(chosen, "moves")
-        rounds.append(moves)
-        other = moves.select(F.col("u").alias("v"), F.col("to").alias("to_v"))
-        moved = now.join(moves, "u", "left").select(F.coalesce("to", "u").alias("u"), "v")
-        moved = moved.join(other, "v", "left").select("u", F.coalesce("to_v", "v").alias("v")).filter("u <> v")
-        after = stored(moved.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
-        drop_stored(now)
-        now = after
-    labels = now.select(F.col("u").alias("v"), F.col("v").alias("label"))  # no row; the types of the ids
-    for moves in reversed(rounds):
-        later = labels.select(F.col("v").alias("to"), "label")
-        through = moves.join(later, "to", "left").select(F.col("u").alias("v"), F.coalesce("label", "to").alias("label"))
-        kept = labels.join(moves.select(F.col("u").alias("v")), "v", "left_anti")
-        labels = stored(through.unionByName(kept), "labels")
-    return labels
-
-
 def linked_keys(df: DataFrame, split_col: str = "split") -> DataFrame:
     """One row per distinct (h, g) key pair: its component, rows and rows per split. Rows without keys are left out."""
     rows = df.select(link_house(F.col("house_id")).alias("h"), link_group(F.col("source_group_id")).alias("g"), split_name(F.col(split_col)).alias("s"))
