@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from griyaflow.plans import core_problems
+from griyaflow.plans import cells, core_problems, profiles
 
-_MODULES = (core_problems,)
+_MODULES = (core_problems, cells, profiles)
 FLAGSHIP = "p5_found"
 
 
