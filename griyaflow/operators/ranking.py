@@ -20,9 +20,10 @@ def rank_by_hash(df: DataFrame, keys: list[str], order: str, ties: list[str], na
     ranking itself runs per range, so a group of a third of all rows is 256 tasks."""
     cut = df.withColumn("_cut", F.substring(order, 1, 2))
     counts = cut.groupBy(*keys, "_cut").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cut")) - F.col("_n")).drop("_n")
-    same = [cut[k].eqNullSafe(before[k]) for k in keys] + [cut["_cut"] == before["_cut"]]
-    joined = cut.join(before, same).select(*[cut[c] for c in cut.columns], "_before")
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cut")) - F.col("_n")
+    before = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_cut").alias("_k_cut"), upto.alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_cut") == F.col("_k_cut")]
+    joined = cut.join(before, same).drop("_k_cut", *[f"_k_{k}" for k in keys])
     place = F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy(order, *ties))
     return joined.withColumn(name, F.col("_before") + place).drop("_cut", "_before")
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from griyaflow.plans import cells, core_problems, profiles
+from griyaflow.plans import cells, core_problems, profiles, sampling
 
-_MODULES = (core_problems, cells, profiles)
+_MODULES = (core_problems, cells, profiles, sampling)
 FLAGSHIP = "p5_found"
 
 
