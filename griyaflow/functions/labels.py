@@ -16,3 +16,7 @@ SHOWN = {"multi": COMPONENTS, "single_exterior_only": ("atap", "dinding"), "sing
 def code_table(component: str) -> dict[str, str]:
     """Survey code to lower-case label: codes count the labels from 1."""
     return {str(i): label.lower() for i, label in enumerate(LABELS[component], 1)}
+
+
+#: Labels among which a synthetic reference is drawn.
+ROOF_DRAW = tuple(x.lower() for x in ATAP)

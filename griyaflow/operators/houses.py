@@ -23,12 +23,16 @@ def house_type(images: Column, otherwise: Column | None = None) -> Column:
     return F.when(ext & inn, "multi").when(ext, "single_exterior_only").when(inn, "single_interior_only").otherwise(F.lit(None).cast("string") if otherwise is None else otherwise)
 
 
+def of_view(images: Column, view: str) -> Column:
+    return F.filter(images, lambda i: view_of(i) == view)
+
+
 def first_of_view(images: Column, view: str) -> Column:
-    return F.get(F.filter(images, lambda i: view_of(i) == view), F.lit(0))
+    return F.get(of_view(images, view), F.lit(0))
 
 
 def last_of_view(images: Column, view: str) -> Column:
-    return F.try_element_at(F.filter(images, lambda i: view_of(i) == view), F.lit(-1))
+    return F.try_element_at(of_view(images, view), F.lit(-1))
 
 
 def first_material(images: Column, component: str) -> Column:
@@ -58,7 +62,7 @@ def slots(images: Column, per_view: int = 2) -> list[tuple[str, Column]]:
     """Positional slots: (name, path or empty) of up to ``per_view`` pictures of each view."""
     out = []
     for view, short in (("exterior", "ext"), ("interior", "int")):
-        own = F.filter(images, lambda i, v=view: view_of(i) == v)
+        own = of_view(images, view)
         out += [(f"{short}_img_{k + 1}", F.coalesce(F.get(own, F.lit(k))["image_path"], F.lit(""))) for k in range(per_view)]
     return out
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from griyaflow.plans import cells, core_problems, profiles, sampling
+from griyaflow.plans import assembly, cells, core_problems, feeds, profiles, records, sampling
 
-_MODULES = (core_problems, cells, profiles, sampling)
+_MODULES = (core_problems, cells, profiles, sampling, records, assembly, feeds)
 FLAGSHIP = "p5_found"
 
 
