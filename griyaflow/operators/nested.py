@@ -140,24 +140,24 @@ def decode_payloads(payloads: list[str | None]) -> pa.ListArray:
     n_houses = n_images = 0
     for payload in payloads:
         try:
-            found = () if payload is None else _houses(_loads(payload))
-            for house in found:
-                for f in HOUSE_FIELDS:
-                    fields[f].append(_text(house.get(f)))
-                pair = _held(house.get("pair_key"))
-                pair = pair if isinstance(pair, dict) else {}
-                fields["pair_kelayakan_rumah"].append(_text(pair.get("kelayakan_rumah")))
-                fields["stem"].append(_text(pair.get("stem")))
-                for item, view in _images(house.get("images")):
-                    for f in IMAGE_FIELDS:
-                        image[f].append(_text(item.get(f)))
-                    if view is not None:
-                        image["view_type"][-1] = view
-                    n_images += 1
-                n_houses += 1
-                per_house.append(n_images)
-        except _Invalid:
-            pass
+            found = [] if payload is None else [(house, list(_images(house.get("images")))) for house in _houses(_loads(payload))]
+        except (_Invalid, RecursionError):  # a payload gives all of its houses or none
+            found = []
+        for house, pictures in found:
+            for f in HOUSE_FIELDS:
+                fields[f].append(_text(house.get(f)))
+            pair = _held(house.get("pair_key"))
+            pair = pair if isinstance(pair, dict) else {}
+            fields["pair_kelayakan_rumah"].append(_text(pair.get("kelayakan_rumah")))
+            fields["stem"].append(_text(pair.get("stem")))
+            for item, view in pictures:
+                for f in IMAGE_FIELDS:
+                    image[f].append(_text(item.get(f)))
+                if view is not None:
+                    image["view_type"][-1] = view
+            n_images += len(pictures)
+            per_house.append(n_images)
+        n_houses += len(found)
         per_payload.append(n_houses)
     images = pa.StructArray.from_arrays([pa.array(image[f], pa.string()) for f in IMAGE_FIELDS], fields=list(_IMAGE))
     image_lists = pa.ListArray.from_arrays(pa.array(per_house, pa.int32()), images)
