@@ -42,7 +42,8 @@ def fill_time(lines: list[tuple[float, float]], total: float) -> float:
 def plan_lines(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """Plan lines with the size of all documents of their source and the size that their share asks for."""
     sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
-    lines = plan.withColumn("source", source_name(F.col("source"))).join(sizes, "source", "left")
+    asked = plan.select("mix_id", source_name(F.col("source")).alias("source"), "target_share", "max_repeats", "total_tokens")
+    lines = asked.join(sizes, "source", "left")
     return lines.select(
         "mix_id", "source", "target_share", "max_repeats", "total_tokens", F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"),
         (F.coalesce("source_tokens", F.lit(0)) * F.col("max_repeats")).alias("available_tokens"), (F.col("target_share") * F.col("total_tokens")).alias("asked_tokens"),
@@ -51,7 +52,7 @@ def plan_lines(docs: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, plan: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(mix_id, source, doc_id, copy, tokens, finish) of the mixed copies; and the plan lines. docs: (doc_id, source, tokens)."""
-    docs = stored(docs.filter("source is not null and tokens > 0"), "sized")
+    docs = stored(docs.filter("source is not null and tokens > 0").select("doc_id", "source", "tokens"), "sized")
     lines = stored(plan_lines(docs, plan), "lines")
     # the plan is a parameter table: its lines, not documents, come to the driver
     told = [r for r in lines.collect() if (r["target_share"] or 0) > 0 and (r["max_repeats"] or 0) >= 1 and (r["total_tokens"] or 0) > 0 and r["source_tokens"] > 0]

@@ -187,5 +187,5 @@ def pack_report(placed: DataFrame, runs: DataFrame, profiles: DataFrame) -> Data
     per_bin = placed.groupBy("profile_id", "bin_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
     used = per_bin.groupBy("profile_id").agg(F.count("*").alias("n_bins"), F.sum("n").alias("n_chunks"), F.sum("t").alias("n_tokens"), F.max("t").alias("fullest"))
     bound = runs.groupBy("profile_id").agg(F.ceil(F.max("bound") - 1e-6).alias("least_bins"))
-    out = profiles.join(used, "profile_id").join(bound, "profile_id")
+    out = profiles.select("profile_id", "profile_name", "capacity_tokens").join(used, "profile_id").join(bound, "profile_id")
     return out.select("profile_id", "profile_name", "capacity_tokens", "n_chunks", "n_tokens", "n_bins", "least_bins", "fullest", (F.col("n_tokens") / (F.col("n_bins") * F.col("capacity_tokens"))).alias("fill"))

@@ -123,11 +123,11 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
     """(type, start, end, votes) of the whole text; names come as single words."""
     out: list[tuple[str, int, int, str]] = []
     words = _Words(text)
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(text))  # places that an earlier type holds
     for kind in ("email", "id_number", "phone", "address"):
         for m in PATTERNS[kind].finditer(text):
             s, e = m.span()
-            if any(a < e and s < b for a, b in taken):
+            if any(taken[s:e]):
                 continue
             surface = text[s:e]
             if kind == "email":
@@ -145,17 +145,13 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
             else:
                 votes = _number_votes(kind, surface, words, s)
             out.append((kind, s, e, "".join(votes)))
-            taken.append((s, e))
-    taken.sort()
+            taken[s:e] = b"\x01" * (e - s)
     cased = sum(1 for c in text if c.isupper()) / (1 + sum(1 for c in text if c.isalpha()))
-    k = 0
     n = len(words.spans)
     for i, (s, e) in enumerate(words.spans):
         if e - s < 4:
             continue
-        while k < len(taken) and taken[k][1] <= s:
-            k += 1
-        if k < len(taken) and taken[k][0] < e:
+        if taken[s] or taken[e - 1]:
             continue
         if s and (text[s - 1] in "@_&/#" or text[s - 1].isdigit()) or e < len(text) and (text[e] in "_@" or text[e].isdigit()):
             continue
@@ -308,9 +304,11 @@ def mentions(text: str, weights: np.ndarray, known: dict[tuple[str, str], bool])
             accepted[kind].append((s, e))
     accepted["name"] = _joined_names(text, accepted["name"])
     out: list[tuple[int, int, str]] = []
+    held = bytearray(len(text))
     for kind in TYPES:
         for s, e in accepted[kind]:
-            if all(e <= a or b <= s for a, b, _ in out):
+            if not any(held[s:e]):
+                held[s:e] = b"\x01" * (e - s)
                 out.append((s, e, kind))
     return [(k, s, e) for s, e, k in sorted(out)]
 
