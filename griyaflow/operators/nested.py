@@ -44,12 +44,9 @@ def _no_constant(_: str) -> None:
     raise _Invalid
 
 
-_DECODER = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=_no_constant)
-
-
 def _loads(text: str):
     try:
-        return _DECODER.decode(text)
+        return json.loads(text, parse_int=str, parse_float=str, parse_constant=_no_constant)
     except (ValueError, RecursionError):
         raise _Invalid from None
 
