@@ -47,11 +47,12 @@ def plain_text(col: Column) -> Column:
     return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
-def without_noise(col: Column) -> Column:
-    before = "^((" + "|".join(BEFORE) + ") )+"
-    after = "( (" + "|".join(AFTER) + "))+$"
-    bare = F.regexp_replace(F.regexp_replace(col, after, ""), before, "")
-    return F.when(bare == "", col).otherwise(bare)
+def readings(col: Column) -> Column:
+    """The text as it stands, without descriptions after it, and then without one or all before it: a name of the list may
+    itself begin with such a word."""
+    before, after = "(" + "|".join(BEFORE) + ") ", "( (" + "|".join(AFTER) + "))+$"
+    bare = F.regexp_replace(col, after, "")
+    return F.filter(F.array(col, bare, F.regexp_replace(bare, f"^{before}", ""), F.regexp_replace(bare, f"^({before})+", "")), lambda t: t != "")
 
 
 def _letters(col: Column) -> Column:
@@ -125,7 +126,7 @@ def _ranked(df: DataFrame, order: list[int]) -> DataFrame:
 def canonical_map(values: DataFrame, ref: DataFrame, threshold: float = THRESHOLD, max_edit: float = MAX_EDIT) -> DataFrame:
     """(component, value, ref_id, name, jaccard, edits) for distinct (component, value); ref_id 0 means none."""
     text = plain_text(F.col("value"))
-    forms = F.explode(F.array_distinct(F.array(_letters(without_noise(F.col("t"))), _letters(F.col("t")))))
+    forms = F.explode(F.array_distinct(F.transform(readings(F.col("t")), _letters)))
     forms = values.withColumn("t", text).filter(~F.col("t").isin(*NOTHING)).select("component", "value", forms.alias("form"))
     forms = forms.withColumn("joined", F.replace("form", F.lit(" "), F.lit(""))).withColumn("codes", _codes("joined"))
     names = stored(reference_names(ref).withColumn("codes", _codes("joined")), "names")
