@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED
+from griyaflow.functions.text import strip
 from griyaflow.operators.houses import has_view, last_of_view, slots
 
 #: Side of the house that shows a component.
@@ -51,7 +52,7 @@ def prompt_text(house: Column, letter: Column, reference: dict[str, Column]) ->
 
 def usable(text: Column) -> Column:
     """Generated text is usable when it holds something and no refusal; code fences do not count."""
-    bare = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"```[a-z]*", ""))
+    bare = strip(F.regexp_replace(F.coalesce(text, F.lit("")), r"```[a-z]*", ""))
     refused = F.lower(bare).rlike("|".join(w.replace("'", ".") for w in REFUSALS))
     return (bare != "") & ~refused
 

@@ -104,7 +104,7 @@ cl AS (SELECT u AS id, least(u, min(v)) AS cluster FROM re GROUP BY u),
 wi AS (SELECT cluster, (list(id ORDER BY label, id))[1] AS winner, count(*) AS size FROM cl JOIN embeddings ON vec_id = id GROUP BY 1),
 lo AS (SELECT id FROM cl JOIN wi USING (cluster) WHERE id <> winner),
 ho AS (SELECT vec_id // 2 AS house, count(*) AS before, count(*) FILTER (vec_id NOT IN (SELECT id FROM lo)) AS "left" FROM embeddings GROUP BY 1)"""
-_USABLE = r"trim(regexp_replace(coalesce(text, ''), '```[a-z]*', '', 'g'))"
+_USABLE = r"regexp_replace(regexp_replace(coalesce(text, ''), '```[a-z]*', '', 'g'), '^\s+|\s+$', '', 'g')"
 _OK = f"({_USABLE} <> '' AND NOT regexp_matches(lower({_USABLE}), 'maaf|sorry|cannot|can.t|tidak bisa membantu|tidak dapat membantu|i can.t|unable|refuse|refusal'))"
 _LETTER = HOUSES + ", l AS (SELECT *, CASE house_type WHEN 'multi' THEN 'C' WHEN 'single_exterior_only' THEN 'A' ELSE 'B' END AS letter FROM h)"
 
