@@ -350,10 +350,11 @@ def bits_of(value: Column, code: dict[str, int], n_words: int) -> list[Column]:
 
 def category_counts(masks: DataFrame, n_cat: int, by: list[str]) -> DataFrame:
     """(by.., cat, n) units per category."""
+    if not n_cat:
+        return masks.sparkSession.createDataFrame([], ", ".join([*[f"{b} int" for b in by], "cat int", "n long"]))
     sums = [F.sum(F.shiftright(f"m{c // WORD}", c % WORD).bitwiseAND(1)).alias(f"c{c}") for c in range(n_cat)]
-    wide = masks.groupBy(*by).agg(*sums)
     stack = ", ".join(f"{c}, c{c}" for c in range(n_cat))
-    return wide.selectExpr(*by, f"stack({n_cat}, {stack}) as (cat, n)") if n_cat else masks.sparkSession.createDataFrame([], ", ".join([*[f"{b} int" for b in by], "cat int", "n long"]))
+    return masks.groupBy(*by).agg(*sums).selectExpr(*by, f"stack({n_cat}, {stack}) as (cat, n)")
 
 
 def sample_to_plan(units: DataFrame, plan: list[dict], cats: list[tuple[str, str]], seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -25,9 +25,9 @@ from griyaflow.runtime import stored
 RANGES = 64
 ROUNDS = 240
 STEP = 0.5
-LEARN = 0.5
+LEARN = 0.1
 #: Long texts are dearer from the start: short ones fill gaps later.
-LONG = 0.05
+LONG = 1.0
 
 
 def best_configuration(capacity: int, lens: np.ndarray, price: np.ndarray, most: np.ndarray) -> np.ndarray:
