@@ -16,8 +16,8 @@ class CapState:
     def __init__(self, cap: int):
         self.cap, self.count, self.keys, self.full = cap, {}, set(), set()
 
-    def admit(self, key: str, labels: list[str]) -> bool:
-        if key in self.keys or any(x in self.full for x in labels):
+    def admit(self, key: str | None, labels: list[str]) -> bool:
+        if key is not None and key in self.keys or any(x in self.full for x in labels):
             return False
         self.keys.add(key)
         for x in labels:
@@ -47,5 +47,5 @@ def admitted_in_order(rows: DataFrame, cap: int) -> DataFrame:
 
 def cap_by_brute_force(rows: Iterator[tuple], cap: int) -> list:
     state = CapState(cap)
-    return [o for o, k, labels in sorted(rows) if labels and k is not None and state.admit(k, labels)]
+    return [o for o, k, labels in sorted(rows, key=lambda r: r[0]) if labels and state.admit(k, labels)]
 

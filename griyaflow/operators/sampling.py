@@ -94,11 +94,11 @@ def shards(df: DataFrame, group: str, order: str, key: str, n: int) -> DataFrame
 
 def label_cap(df: DataFrame, key: str, order: str, labels: str, cap: int, seen: DataFrame | None = None) -> DataFrame:
     """Greedy admission in order: a record enters when its key is new and none of its labels has ``cap`` records yet;
-    entering counts for all its labels.
+    entering counts for all its labels. A record without a key is never a repeat.
 
     Each admission depends on all before, so this is an ordered fold: records that cannot matter (no label, key seen
     before) are gone first, and the state is a count per label and the keys of at most cap x labels admitted records."""
-    rows = df.filter((F.size(labels) > 0) & F.col(key).isNotNull())
+    rows = df.filter(F.size(labels) > 0)
     if seen is not None:
         rows = rows.join(seen, key, "left_anti")
     narrow = rows.select(F.col(order).alias("o"), F.col(key).cast("string").alias("k"), F.col(labels).alias("l"))

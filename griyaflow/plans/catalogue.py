@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from griyaflow.plans import assembly, cells, core_problems, feeds, profiles, records, sampling
+from griyaflow.plans import assembly, cells, core_problems, extras, feeds, profiles, records, sampling
 
-_MODULES = (core_problems, cells, profiles, sampling, records, assembly, feeds)
+_MODULES = (core_problems, cells, profiles, sampling, records, assembly, extras, feeds)
 FLAGSHIP = "p5_found"
 
 

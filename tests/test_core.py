@@ -184,3 +184,36 @@ def test_chat(spark):
     assert "tampak luar tidak tersedia" in got[1]["reason"] and "tidak terlihat" in got[2]["reason"]
     texts = spark.createDataFrame([("```json\n```",), ("Maaf, tidak",), ("baik",), (None,)], "t string").select(chat.usable(F.col("t")).alias("u")).collect()
     assert [r["u"] for r in texts] == [False, False, True, False]
+
+
+def test_answers_and_types(spark):
+    from griyaflow.functions import payload
+    from griyaflow.operators import augment
+
+    rows = [('```json\n{"a": " x ", "b": {"alasan": "y"}}\n```',), ('{"a": "x\ny"}',), ("no",), (None,), ('{"a": null}',)]
+    df = spark.createDataFrame(rows, "t string").select(payload.fenced_json(F.col("t")).alias("j")).select(payload.answer_field(F.col("j"), "a").alias("a"), payload.answer_field(F.col("j"), "b").alias("b"))
+    assert [tuple(r) for r in df.collect()] == [("x", "y"), ("", ""), ("", ""), ("", ""), ("", "")]
+    kinds = spark.createDataFrame([(" Exterior_only",), ("single",), ("odd",), (None,)], "k string")
+    got = [tuple(r) for r in kinds.select(*[augment.type_reading(F.col("k"), r).alias(r) for r in ("split", "record", "output", "task")]).collect()]
+    assert got == [("single_exterior_only", "single_exterior_only", "single_exterior_only", "multi"), ("single", "single", "multi", "single_exterior_only"), ("odd", "odd", "", "multi"), (None, "", "", "multi")]
+
+
+def test_first_copy_hides_a_later_one(spark):
+    from griyaflow.operators import augment
+
+    rows = [row(1, "A", images=[image(image_path="p"), image(image_path="q", image_hash="h")]), row(2, "B", images=[image(image_path="p", image_hash="h"), image(image_path=" "), None])]
+    got = augment.image_records(houses.houses(table(spark, rows))).collect()
+    assert [(r["image_path"], r["house_id"], r["view_type"]) for r in got] == [("q", "A", "unknown")]
+
+
+def test_minted_and_merged(spark):
+    from griyaflow.operators import augment
+
+    df = spark.createDataFrame([(i, k, "a", "b", "c") for i, k in enumerate(["multi", "single_exterior_only", "single_interior_only"])], "o long, house_type string, atap string, dinding string, lantai string")
+    got = sorted(tuple(r) for r in augment.minted(df, "o", 99999).select("new_id", "atap", "dinding", "lantai").collect())
+    nd = "Tidak terdeteksi"
+    assert got == [("H100000", "a", "b", nd), ("H100001", nd, nd, "c"), ("H99999", "a", "b", "c")]
+    existing = spark.createDataFrame([("k1",), (None,)], "k string")
+    source = spark.createDataFrame([(1, "k1", ["x"]), (2, "k2", ["x"]), (3, "k2", ["x"]), (4, None, ["x"]), (5, None, ["x"]), (6, "k9", [])], "o long, k string, l array<string>")
+    merged = augment.merge_new(existing, source, source.filter("o = 6"), "k", "o", "l", 2)
+    assert sorted((r["o"], r["origin"]) for r in merged.collect()) == [(2, "source"), (4, "source"), (6, "crawled")]
