@@ -2,7 +2,8 @@
 
 A hash is read as a text of 256 bits. Two texts that differ in at most ``max_bits`` places share, at the
 same offset, one of ``max_bits + 1`` blocks whole (pigeonhole), so suffixes are only needed at the
-block starts. All suffixes of all distinct hashes are spread by (start, block) and sorted; a run of
+block starts. Where so many hashes exist that runs of equal blocks would be long by chance, two of
+``max_bits + 2`` blocks have to agree: more suffixes, but short runs, and just as exact. All suffixes of all distinct hashes are spread by (start, block) and sorted; a run of
 adjacent suffixes whose common prefix covers the block is an interval of the suffix array, and pairs
 of different splits within it are candidates. A suffix entry carries 64 bits of its hash: the
 candidates that differ in too many of these are gone before anything is joined. The rest fetch their
@@ -18,6 +19,7 @@ pairs of pictures give their record pair once; an empty table gives no pairs.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,10 @@ BITS = 256
 #: Pairs of an interval are compared in blocks of so many rows, whatever the interval's size.
 BLOCK = 2048
 SALT = 16
+#: Members of a run of unrelated texts that are still compared rather than told apart by a second block.
+RUN = 64
+#: Low bits of a suffix key that say which blocks it holds.
+SET_BITS = 8
 
 
 def hash_text(col: Column) -> Column:
@@ -57,12 +63,30 @@ def _block(words: list[Column], start: int, length: int) -> Column:
     return F.shiftleft(head, length - take).bitwiseOR(F.shiftrightunsigned(words[word + 1], 64 - (length - take)))
 
 
-def block_starts(max_bits: int) -> list[tuple[int, int]]:
-    n = max_bits + 1
+def block_starts(n: int) -> list[tuple[int, int]]:
+    """(start, length) of ``n`` blocks that make up the text."""
     cuts = [BITS * k // n for k in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def agreeing_blocks(n_hashes: int, max_bits: int) -> int:
+    """How many blocks must agree so that a run of unrelated texts has some RUN members at most, by chance."""
+    return 1 if n_hashes <= RUN << (BITS // (max_bits + 1)) else 2
+
+
+def suffix_keys(words: list[Column], max_bits: int, agree: int) -> Column:
+    """Every set of ``agree`` blocks as a number: its bits and which blocks they are."""
+    blocks = block_starts(max_bits + agree)
+    bits = [_block(words, a, n) for a, n in blocks]
+    keys = []
+    for k, some in enumerate(itertools.combinations(range(len(blocks)), agree)):
+        key = F.lit(0).cast("long")
+        for i in some:
+            key = F.shiftleft(key, blocks[i][1]).bitwiseOR(bits[i])
+        keys.append(F.shiftleft(key, SET_BITS).bitwiseOR(F.lit(k).cast("long")))
+    return F.array(*keys)
+
+
 def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id") -> DataFrame:
     """Distinct (h, id, train) of the usable pictures of rows that have a split."""
     rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("s"), F.explode(F.array_distinct(F.transform("images", lambda i: hash_text(i["image_hash"])))).alias("h"))
@@ -99,7 +123,7 @@ def _interval_pairs(max_bits: int):
                 ok = (np.bitwise_count((part[x] ^ part[y]).view(np.uint64)) <= max_bits) & ((side[x] & 1) > 0) & ((side[y] & 2) > 0)
                 found_a.append(part[x][ok])
                 found_b.append(part[y][ok])
-        own = part[(side == 3) & ((key & 15) == 0)]  # the same text on both sides, told once
+        own = part[(side == 3) & ((key & (2**SET_BITS - 1)) == 0)]  # the same text on both sides, told once
         if len(own):
             found_a.append(own)
             found_b.append(own)
@@ -128,14 +152,13 @@ def _interval_pairs(max_bits: int):
     return run
 
 
-def near_hashes(hashes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_hashes(hashes: DataFrame, max_bits: int = MAX_BITS, agree: int | None = None) -> DataFrame:
     """(train_hash, eval_hash, bits, coverage) of different-or-equal hashes of the two sides within ``max_bits``.
 
     ``hashes`` is (h, side) with one row per distinct hash; side bit 1: in train, bit 2: in val or test."""
     words = hashes.select("h", "side", *[w.alias(f"w{k}") for k, w in enumerate(_words("h"))])
     w = [F.col(f"w{k}") for k in range(4)]
-    starts = block_starts(max_bits)
-    keys = F.array(*[F.shiftleft(_block(w, a, n), 4).bitwiseOR(F.lit(k).cast("long")) for k, (a, n) in enumerate(starts)])
+    keys = suffix_keys(w, max_bits, agree or agreeing_blocks(hashes.count(), max_bits))
     suffixes = words.select(F.explode(keys).alias("key"), F.col("w0").alias("part"), F.col("side").cast("byte").alias("side"))
     placed = suffixes.repartition("key").sortWithinPartitions("key")
     candidates = placed.mapInArrow(_interval_pairs(max_bits), "a long, b long").distinct()

@@ -117,8 +117,21 @@ def test_against_brute_force_with_a_picture_in_a_third_of_rows(spark):
 
 
 def test_blocks_cover_all_bits():
-    blocks = overlap.block_starts(10)
-    assert len(blocks) == 11 and blocks[0][0] == 0 and sum(n for _, n in blocks) == 256 and all(n < 59 for _, n in blocks)
+    for n in (11, 12):
+        blocks = overlap.block_starts(n)
+        assert len(blocks) == n and blocks[0][0] == 0 and sum(k for _, k in blocks) == 256 and 2 * max(k for _, k in blocks) + overlap.SET_BITS < 63
+    assert overlap.agreeing_blocks(10**8, 10) == 1 and overlap.agreeing_blocks(10**10, 10) == 2
+
+
+def test_one_or_two_agreeing_blocks_find_the_same(spark):
+    rng = np.random.default_rng(9)
+    base = [f"{int.from_bytes(rng.bytes(32), 'big'):064x}" for _ in range(20)]
+    hashes = sorted({flip(base[rng.integers(20)], *rng.choice(256, size=rng.integers(0, 9), replace=False)) for _ in range(300)})
+    df = spark.createDataFrame([(h, 1 + i % 3) for i, h in enumerate(hashes)], "h string, side int")
+    found = [{(r["train_hash"], r["eval_hash"], r["bits"]) for r in overlap.near_hashes(df, agree=k).collect()} for k in (1, 2)]
+    side = {h: 1 + i % 3 for i, h in enumerate(hashes)}
+    want = {(a, b, d) for a in hashes for b in hashes if side[a] & 1 and side[b] & 2 and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 10}
+    assert found[0] == want and found[1] == want
 
 
 def test_large_interval_is_compared_in_blocks(spark):
