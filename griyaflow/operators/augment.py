@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from griyaflow.functions.keys import non_empty
 from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED, SHOWN
 from griyaflow.functions.text import strip
 from griyaflow.operators.ranking import global_rank
@@ -26,7 +27,7 @@ def type_reading(col: Column, reader: str) -> Column:
     unknown empty) or ``task`` (``single`` is exterior, unknown multi) readers take it."""
     low = F.lower(strip(F.coalesce(col, F.lit(""))))
     table = {"output": _FULL | {"single": "multi"}, "task": {k: v for k, v in _FULL.items() if k in SHOWN} | {"single": "single_exterior_only"}}.get(reader, _FULL)
-    out = {"split": F.nullif(low, F.lit("")), "record": low, "output": F.lit(""), "task": F.lit("multi")}[reader]
+    out = {"split": non_empty(low), "record": low, "output": F.lit(""), "task": F.lit("multi")}[reader]
     for k, v in table.items():
         out = F.when(low == k, v).otherwise(out)
     return out
@@ -56,7 +57,7 @@ def image_records(houses: DataFrame, house: str = "house_id") -> DataFrame:
 
     The check comes after the choice: a first copy without one hides a later good one."""
     each = houses.select(house, "rec_id", F.posexplode("images").alias("pos", "i"))
-    each = each.select(house, "rec_id", "pos", F.nullif(F.trim("i.image_path"), F.lit("")).alias("image_path"), F.nullif(F.trim("i.image_hash"), F.lit("")).alias("image_hash"), F.coalesce(F.nullif(F.lower(F.trim("i.view_type")), F.lit("")), F.lit("unknown")).alias("view_type"))
+    each = each.select(house, "rec_id", "pos", non_empty(F.trim("i.image_path")).alias("image_path"), non_empty(F.trim("i.image_hash")).alias("image_hash"), F.coalesce(non_empty(F.lower(F.trim("i.view_type"))), F.lit("unknown")).alias("view_type"))
     first = each.filter("image_path is not null").groupBy("image_path").agg(F.min_by(F.struct(house, "rec_id", "pos", "image_hash", "view_type"), F.struct("rec_id", "pos")).alias("f"))
     return first.select("image_path", "f.*").filter("image_hash is not null")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from griyaflow.functions.keys import non_empty
 from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED
 from griyaflow.functions.text import strip
 from griyaflow.operators.houses import has_view, last_of_view, slots
@@ -31,7 +32,7 @@ def component(name: str, letter: Column, label: Column, status: Column) -> Colum
     head = f"Variabel {name} tidak dapat diidentifikasi karena "
     hidden = none(f"{head}foto rumah tampak {SIDE[name]} tidak tersedia.")
     blank = none(f"{head}komponen {name} pada foto rumah tampak {SIDE[name]} tidak terlihat.")
-    good = F.struct(text.alias("label"), F.coalesce(F.nullif(F.trim(status), F.lit("")), F.lit("Tidak sesuai")).alias("status"), F.lit(True).alias("needs_text"), F.lit("").alias("reason"))
+    good = F.struct(text.alias("label"), F.coalesce(non_empty(F.trim(status)), F.lit("Tidak sesuai")).alias("status"), F.lit(True).alias("needs_text"), F.lit("").alias("reason"))
     return F.when(~shown, hidden).when(unseen, blank).otherwise(good)
 
 
@@ -84,7 +85,7 @@ def annotation_tasks(df: DataFrame, labels: dict[str, Column], kind: Column) ->
     choice = lambda name, c: F.struct(F.lit(name).alias("name"), c.alias("choice"))
     out = [choice("house_type_valid", F.coalesce(kind, F.lit("multi")))]
     out += [choice(f"{n}_exists_ctrl", F.when(c != "", "yes").otherwise("no")) for n, c in cells.items()]
-    out += [choice(f"jenis_{c}_terluas", F.coalesce(F.nullif(F.trim(labels[c]), F.lit("")), F.lit("Belum Diisi"))) for c in COMPONENTS]
+    out += [choice(f"jenis_{c}_terluas", F.coalesce(non_empty(F.trim(labels[c])), F.lit("Belum Diisi"))) for c in COMPONENTS]
     out += [F.when(c != "", choice(f"{n}_status", F.lit("KEEP"))) for n, c in cells.items()]
     return df.select("rec_id", F.explode(F.array_compact(F.array(*out))).alias("t")).select("rec_id", "t.*")
 

@@ -14,7 +14,8 @@ def view_of(image: Column) -> Column:
 
 
 def has_view(images: Column, view: str) -> Column:
-    return F.coalesce(F.exists(images, lambda i: F.coalesce(view_of(i) == view, F.lit(False))), F.lit(False))
+    # the field's array, not the pictures: a scan reads no other field
+    return F.coalesce(F.exists(images["view_type"], lambda v: F.coalesce(F.lower(F.trim(v)) == view, F.lit(False))), F.lit(False))
 
 
 def house_type(images: Column, otherwise: Column | None = None) -> Column:
@@ -37,15 +38,15 @@ def last_of_view(images: Column, view: str) -> Column:
 
 def first_material(images: Column, component: str) -> Column:
     """First non-blank material of a component over the pictures, trimmed and lower-cased."""
-    each = F.transform(images, lambda i: F.nullif(F.lower(F.trim(i[f"material_{component}"])), F.lit("")))
-    return F.get(F.filter(each, lambda m: m.isNotNull()), F.lit(0))
+    each = F.transform(images[f"material_{component}"], lambda m: F.lower(F.trim(m)))
+    return F.get(F.filter(each, lambda m: m != ""), F.lit(0))
 
 
 def houses(df: DataFrame) -> DataFrame:
     """(rec_id, house_id, split, house_type, atap, dinding, lantai, n_images, images) of the old house schema."""
     return df.select(
         "rec_id", house_key(F.col("house_id")).alias("house_id"), split_name(F.col("split")).alias("split"), house_type(F.col("images")).alias("house_type"),
-        *[first_material(F.col("images"), c).alias(c) for c in COMPONENTS], F.coalesce(F.array_size("images"), F.lit(0)).alias("n_images"), "images", "captured_at",
+        *[first_material(F.col("images"), c).alias(c) for c in COMPONENTS], F.coalesce(F.array_size("images.view_type"), F.lit(0)).alias("n_images"), "images", "captured_at",
     )
 
 

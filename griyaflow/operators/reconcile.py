@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from griyaflow.functions import text as X
-from griyaflow.functions.keys import blank_to_null, house_key, path_key
+from griyaflow.functions.keys import blank_to_null, house_key, non_empty, path_key
 from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED, SHOWN
 from griyaflow.operators.ranking import best_per_key
 
@@ -27,7 +27,7 @@ def annotation_slots(latest: DataFrame) -> DataFrame:
     each = latest.select("annotation_id", "house_id", X.anomaly_mode(F.col("fields")["anomaly_notes"]).alias("mode"), F.explode("fields").alias("key", "value"))
     key = F.lower("key")
     part = lambda g: F.regexp_extract(key, SLOT_KEY, g)
-    named = each.filter(key.rlike(SLOT_KEY)).select("annotation_id", "house_id", "mode", part(1).alias("side"), part(2).cast("int").alias("slot"), F.coalesce(F.nullif(part(3), F.lit("")), F.lit("db")).alias("f"), "value")
+    named = each.filter(key.rlike(SLOT_KEY)).select("annotation_id", "house_id", "mode", part(1).alias("side"), part(2).cast("int").alias("slot"), F.coalesce(non_empty(part(3)), F.lit("db")).alias("f"), "value")
     of = lambda f: F.max(F.when(F.col("f") == f, F.col("value"))).alias(f)
     slots = named.groupBy("annotation_id", "house_id", "mode", "side", "slot").agg(of("db"), of("id"), of("exists"), of("status"))
     link, pid = blank_to_null(F.col("db")), blank_to_null(F.col("id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from griyaflow.functions.keys import non_empty
 from griyaflow.operators import sampling as S
 from griyaflow.operators.houses import stratum
 from griyaflow.plans.base import HOUSES, STRATUM, house_view
@@ -49,7 +50,7 @@ def sample_remainder(spark: SparkSession, d: str) -> DataFrame:
 
 def sample_unique_groups(spark: SparkSession, d: str) -> DataFrame:
     """150 source groups that no test row uses, one record each, by type."""
-    rows = table(spark, d, "sample_15").select("rec_id", F.nullif(F.lower(F.trim("source_group_id")), F.lit("")).alias("grp"), F.coalesce("dataset_scheme", F.lit("unknown")).alias("stratum"), F.lower(F.trim("split")).alias("s"))
+    rows = table(spark, d, "sample_15").select("rec_id", non_empty(F.lower(F.trim("source_group_id"))).alias("grp"), F.coalesce("dataset_scheme", F.lit("unknown")).alias("stratum"), F.lower(F.trim("split")).alias("s"))
     used = rows.filter("s = 'test' and grp is not null").select("grp").distinct()
     return S.unique_sample(rows.select("rec_id", "grp", "stratum"), "grp", "rec_id", "stratum", used, 150).select("rec_id", "grp", "stratum")
 
