@@ -89,7 +89,7 @@ def suffix_keys(words: list[Column], max_bits: int, agree: int) -> Column:
 
 def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id") -> DataFrame:
     """Distinct (h, id, train) of the usable pictures of rows that have a split."""
-    rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("s"), F.explode(F.array_distinct(F.transform("images", lambda i: hash_text(i["image_hash"])))).alias("h"))
+    rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("s"), F.explode(F.array_distinct(F.transform("images.image_hash", hash_text))).alias("h"))
     rows = rows.filter("s is not null and h is not null").select("h", "id", (F.col("s") == "train").alias("train"))
     return rows.join(placeholders.select(F.lower(F.trim("image_hash")).alias("h")).distinct(), "h", "left_anti")
 
