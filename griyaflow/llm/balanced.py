@@ -43,12 +43,10 @@ TOLERANCE = 0.01
 
 
 class Flight:
-    """Moves fractional units along the null space of their indicators; keeps a reduced basis, one unit per row."""
+    """Moves fractional units along the null space of their indicators, in a reduced basis of at most one unit per row."""
 
     def __init__(self, n_rows: int, rng: np.random.Generator):
         self.rows, self.rng = n_rows, rng
-        self.ops = np.eye(n_rows)
-        self.basic: list[int | None] = [None] * n_rows
 
     def run(self, a: np.ndarray, p: np.ndarray, rows: int | None = None) -> np.ndarray:
         """``a``: rows x units, ``p``: probabilities, changed in place. ``rows``: only the first so many are kept balanced."""

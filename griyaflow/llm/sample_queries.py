@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from griyaflow.functions.keys import choice, house_key
@@ -14,6 +14,10 @@ COMPONENTS = ("atap", "dinding", "lantai")
 MOST_LINES = 100_000
 
 
+def _or_bits(materials: Column, code: dict[str, int], n_words: int, w: int) -> Column:
+    return F.aggregate(materials, F.lit(0).cast("long"), lambda acc, m: acc.bitwiseOR(bits_of(F.lower(F.trim(m)), code, n_words)[w]))
+
+
 def _sampled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     plan = [r.asDict() for r in table(spark, d, "sample_plan").orderBy("plan_id", "component", "category").limit(MOST_LINES + 1).collect()]
     if len(plan) > MOST_LINES:
@@ -24,15 +28,14 @@ def _sampled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, d, "sample_15")
     zero = F.lit(0).cast("long")
 
-    def of_image(w: int):
-        def add(acc, i):
-            for comp in COMPONENTS:
-                acc = acc.bitwiseOR(bits_of(F.lower(F.trim(i[f"material_{comp}"])), own[comp], n_words)[w])
-            return acc
-
-        return add
+    def any_bits(w: int) -> Column:
+        """Bits of all pictures; each component is read as an array of its own, so a scan reads no other field."""
+        out = bits_of(choice(F.col("kelayakan_rumah")), own["kelayakan_rumah"], n_words)[w]
+        for comp in COMPONENTS:
+            out = out.bitwiseOR(F.coalesce(_or_bits(F.col(f"images.material_{comp}"), own[comp], n_words, w), zero))
+        return out
 
-    found = [F.coalesce(F.aggregate("images", zero, of_image(w)), zero).bitwiseOR(bits_of(choice(F.col("kelayakan_rumah")), own["kelayakan_rumah"], n_words)[w]) for w in range(n_words)]
+    found = [any_bits(w) for w in range(n_words)]
     units = category_masks(rows, house_key(F.col("house_id")), found, len(cats))
     return sample_to_plan(units, plan, cats)
 
