@@ -47,10 +47,13 @@ def hash_text(col: Column) -> Column:
     return F.when(h.rlike("^[0-9a-f]{64}$"), h)
 
 
-def _words(h: str) -> list[Column]:
-    """The hash as four 64-bit words."""
+#: The four 64-bit words of a hash; they are its key from the scan on, half as long as its text.
+WORDS = ("w0", "w1", "w2", "w3")
+
+
+def hash_words(h: str) -> list[Column]:
     half = lambda at: F.conv(F.substring(h, at, 8), 16, 10).cast("long")
-    return [F.shiftleft(half(16 * k + 1), 32).bitwiseOR(half(16 * k + 9)) for k in range(4)]
+    return [F.shiftleft(half(16 * k + 1), 32).bitwiseOR(half(16 * k + 9)).alias(w) for k, w in enumerate(WORDS)]
 
 
 def _block(words: list[Column], start: int, length: int) -> Column:
@@ -88,10 +91,11 @@ def suffix_keys(words: list[Column], max_bits: int, agree: int) -> Column:
 
 
 def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id") -> DataFrame:
-    """Distinct (h, id, train) of the usable pictures of rows that have a split."""
+    """Distinct (w0..w3, id, train) of the usable pictures of rows that have a split."""
     rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("s"), F.explode(F.array_distinct(F.transform("images.image_hash", hash_text))).alias("h"))
-    rows = rows.filter("s is not null and h is not null").select("h", "id", (F.col("s") == "train").alias("train"))
-    return rows.join(placeholders.select(F.lower(F.trim("image_hash")).alias("h")).distinct(), "h", "left_anti")
+    rows = rows.filter("s is not null and h is not null").select("id", (F.col("s") == "train").alias("train"), *hash_words("h"))
+    stand_in = placeholders.select(F.lower(F.trim("image_hash")).alias("h")).filter(F.length("h") == 64).select(*hash_words("h")).distinct()
+    return rows.join(stand_in, list(WORDS), "left_anti")
 
 
 _SUFFIX_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -153,36 +157,39 @@ def _interval_pairs(max_bits: int):
 
 
 def near_hashes(hashes: DataFrame, max_bits: int = MAX_BITS, agree: int | None = None) -> DataFrame:
-    """(train_hash, eval_hash, bits, coverage) of different-or-equal hashes of the two sides within ``max_bits``.
+    """(t0..t3, e0..e3, bits) of the hashes of the two sides within ``max_bits``, equal ones included.
 
-    ``hashes`` is (h, side) with one row per distinct hash; side bit 1: in train, bit 2: in val or test."""
-    words = hashes.select("h", "side", *[w.alias(f"w{k}") for k, w in enumerate(_words("h"))])
-    w = [F.col(f"w{k}") for k in range(4)]
+    ``hashes`` is (w0..w3, side) with one row per distinct hash; side bit 1: in train, bit 2: in val or test."""
+    w = [F.col(x) for x in WORDS]
     keys = suffix_keys(w, max_bits, agree or agreeing_blocks(hashes.count(), max_bits))
-    suffixes = words.select(F.explode(keys).alias("key"), F.col("w0").alias("part"), F.col("side").cast("byte").alias("side"))
+    suffixes = hashes.select(F.explode(keys).alias("key"), F.col("w0").alias("part"), F.col("side").cast("byte").alias("side"))
     placed = suffixes.repartition("key").sortWithinPartitions("key")
     candidates = placed.mapInArrow(_interval_pairs(max_bits), "a long, b long").distinct()
-    side = lambda bit, name, at: words.filter(F.col("side").bitwiseAND(bit) > 0).select(F.col("w0").alias(at), F.col("h").alias(name), *[F.col(f"w{k}").alias(f"{at}{k}") for k in range(4)])
-    both = candidates.join(side(1, "train_hash", "a"), "a").join(side(2, "eval_hash", "b"), "b")
-    bits = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(1, 4)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    return both.select("train_hash", "eval_hash", bits.alias("bits")).filter(F.col("bits") <= max_bits).withColumn("coverage", 1 - F.col("bits") / BITS)
+    of = lambda bit, name: hashes.filter(F.col("side").bitwiseAND(bit) > 0).select(*[F.col(x).alias(f"{name}{k}") for k, x in enumerate(WORDS)])
+    both = candidates.join(of(1, "t"), F.col("a") == F.col("t0")).join(of(2, "e"), F.col("b") == F.col("e0"))
+    bits = sum((F.bit_count(F.col(f"t{k}").bitwiseXOR(F.col(f"e{k}"))) for k in range(1, 4)), F.bit_count(F.col("t0").bitwiseXOR(F.col("e0"))))
+    return both.drop("a", "b").withColumn("bits", bits).filter(F.col("bits") <= max_bits)
+
+
+def _words_as(name: str) -> list[Column]:
+    return [F.col(f"{name}{k}").alias(w) for k, w in enumerate(WORDS)]
 
 
 def overlapping_hashes(pictures: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     side = F.bit_or(F.when(F.col("train"), 1).otherwise(2)).alias("side")
-    hashes = stored(pictures.groupBy("h").agg(side), "hashes")
-    return near_hashes(hashes, max_bits)
+    return near_hashes(stored(pictures.groupBy(*WORDS).agg(side), "hashes"), max_bits)
 
 
-def overlapping_pairs(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
-    """(train_id, eval_id, bits) of record pairs across splits; and the pictures table."""
+def overlapping_pairs(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> DataFrame:
+    """(train_id, eval_id, bits) of record pairs across splits."""
     pictures = stored(picture_hashes(df, placeholders, id_col), "pictures")
     near = stored(overlapping_hashes(pictures, max_bits), "near")
     salt = F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")
-    ev = pictures.filter("not train").join(near.withColumnRenamed("eval_hash", "h"), "h").select(F.col("id").alias("eval_id"), "train_hash", "bits", salt.alias("salt"))
-    tr = pictures.filter("train").select(F.col("h").alias("train_hash"), F.col("id").alias("train_id"))
-    used = tr.join(near.select("train_hash").distinct(), "train_hash", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return ev.join(used, ["train_hash", "salt"]).groupBy("train_id", "eval_id").agg(F.min("bits").alias("bits")), pictures
+    t = [f"t{k}" for k in range(4)]
+    ev = pictures.filter("not train").join(near.select(*_words_as("e"), *t, "bits"), list(WORDS)).select(F.col("id").alias("eval_id"), *t, "bits", salt.alias("salt"))
+    used = pictures.filter("train").join(near.select(*_words_as("t")).distinct(), list(WORDS), "left_semi")
+    tr = used.select(*[F.col(w).alias(x) for w, x in zip(WORDS, t, strict=True)], F.col("id").alias("train_id"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    return ev.join(tr, [*t, "salt"]).groupBy("train_id", "eval_id").agg(F.min("bits").alias("bits"))
 
 
 def overlap_by_split(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> DataFrame:
@@ -190,8 +197,8 @@ def overlap_by_split(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_
 
     No pair of records is formed: a record overlaps as soon as one of its pictures does."""
     pictures = stored(picture_hashes(df, placeholders, id_col), "pictures")
-    best = overlapping_hashes(pictures, max_bits).groupBy("eval_hash").agg(F.min("bits").alias("bits"))
-    hit = pictures.filter("not train").join(best.withColumnRenamed("eval_hash", "h"), "h").groupBy("id").agg(F.min("bits").alias("bits"))
+    best = overlapping_hashes(pictures, max_bits).select(*_words_as("e"), "bits").groupBy(*WORDS).agg(F.min("bits").alias("bits"))
+    hit = pictures.filter("not train").join(best, list(WORDS)).groupBy("id").agg(F.min("bits").alias("bits"))
     rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("split"), F.coalesce(F.lower(F.trim("source_group_id")), F.lit("")).alias("source_group"))
     rows = rows.filter("split in ('val', 'test')").join(hit, "id", "left")
     return rows.groupBy("split", "source_group").agg(

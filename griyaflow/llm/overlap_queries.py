@@ -10,7 +10,7 @@ from griyaflow.runtime import table
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    pairs, _ = overlapping_pairs(table(spark, d, "sample_15"), table(spark, d, "placeholder_hashes"))
+    pairs = overlapping_pairs(table(spark, d, "sample_15"), table(spark, d, "placeholder_hashes"))
     return pairs.select(F.least("train_id", "eval_id").alias("rec_a"), F.greatest("train_id", "eval_id").alias("rec_b"))
 
 

@@ -85,7 +85,7 @@ HOLD = "f" * 64
 
 def pairs(spark, rows):
     place = spark.createDataFrame([(HOLD,), (None,)], "image_hash string")
-    got, _ = overlap.overlapping_pairs(clashing(table(spark, rows), "id", "h", "train", "side", "bits", "salt"), place)
+    got = overlap.overlapping_pairs(clashing(table(spark, rows), "id", "h", "train", "side", "bits", "salt", "w0"), place)
     return sorted((r["train_id"], r["eval_id"], r["bits"]) for r in got.collect())
 
 
@@ -128,7 +128,9 @@ def test_one_or_two_agreeing_blocks_find_the_same(spark):
     base = [f"{int.from_bytes(rng.bytes(32), 'big'):064x}" for _ in range(20)]
     hashes = sorted({flip(base[rng.integers(20)], *rng.choice(256, size=rng.integers(0, 9), replace=False)) for _ in range(300)})
     df = spark.createDataFrame([(h, 1 + i % 3) for i, h in enumerate(hashes)], "h string, side int")
-    found = [{(r["train_hash"], r["eval_hash"], r["bits"]) for r in overlap.near_hashes(df, agree=k).collect()} for k in (1, 2)]
+    words = df.select("side", *overlap.hash_words("h"))
+    text = lambda r, n: "".join(f"{r[f'{n}{k}'] % 2**64:016x}" for k in range(4))
+    found = [{(text(r, "t"), text(r, "e"), r["bits"]) for r in overlap.near_hashes(words, agree=k).collect()} for k in (1, 2)]
     side = {h: 1 + i % 3 for i, h in enumerate(hashes)}
     want = {(a, b, d) for a in hashes for b in hashes if side[a] & 1 and side[b] & 2 and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 10}
     assert found[0] == want and found[1] == want
@@ -137,7 +139,7 @@ def test_one_or_two_agreeing_blocks_find_the_same(spark):
 def test_large_interval_is_compared_in_blocks(spark):
     n = 3000
     hashes = [(f"{7:08x}{i:056x}", 1 + i % 2) for i in range(n)]
-    got = overlap.near_hashes(spark.createDataFrame(hashes, "h string, side int"), 1).count()
+    got = overlap.near_hashes(spark.createDataFrame(hashes, "h string, side int").select("side", *overlap.hash_words("h")), 1).count()
     want = sum(1 for i in range(0, n, 2) for b in range(12) if (i ^ (1 << b)) % 2 and (i ^ (1 << b)) < n)
     assert got == want
 
