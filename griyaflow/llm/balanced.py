@@ -315,8 +315,10 @@ def draw(units: DataFrame, cells: DataFrame, n_cat: int, aims: dict[int, Aim], k
         last = widest <= GROUP
         slots = 1 if last else min(slots // 2, max(1, -(-widest // GROUP))) or 1
         # equal masks meet in one group: first interchanged, then balanced against the others
-        grouped = open_.withColumn("slot", F.pmod(F.xxhash64(*words), F.lit(slots)).cast("int")).groupBy("plan_id", "slot")
-        level = stored(grouped.applyInPandas(_group_flight(n_cat, key, seed + slots, slots == 1), ddl), "flight")
+        # a count of partitions by name: few bytes are much work here, so they are not to be coalesced by size
+        spread = min(len(aims) * slots, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        slotted = open_.withColumn("slot", F.pmod(F.xxhash64(*words), F.lit(slots)).cast("int")).repartition(max(1, spread), "plan_id", "slot")
+        level = stored(slotted.groupBy("plan_id", "slot").applyInPandas(_group_flight(n_cat, key, seed + slots, slots == 1), ddl), "flight")
         done.append(level.filter("p >= 1"))
         if slots == 1:
             break
