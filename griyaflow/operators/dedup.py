@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from griyaflow.operators.components import least_label
 from griyaflow.runtime import stored
 
-#: Pivots that cut the space in cells; fitted on a bounded sample, every vector is placed.
-PIVOTS = 64
+#: Bounds of the pivots that cut the space in cells, the root of the vectors' number; a bounded sample, every vector is placed.
+LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 1024
 
 
@@ -32,7 +32,8 @@ def similar_pairs(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     no task holds a whole cell. A high threshold, as for duplicates, leaves few visits; a low one costs more, but
     nothing is lost. Null vectors have no pair; zero vectors are like nothing."""
     rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).toPandas()
+    n_pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(rows.count())))
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(n_pivots).toPandas()
     if not len(sample):
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("score")).limit(0)
     pivots, reach = _unit(sample["v"]), 2 * math.acos(max(-1.0, min(1.0, threshold))) + 1e-9

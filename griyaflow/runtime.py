@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
+_STORED: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/griyaflow-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED[path] = spark.sparkContext.applicationId
     back = spark.read.schema(df.schema).parquet(path)
     back._griyaflow_path = path
     return back
@@ -37,9 +40,27 @@ def drop_stored(df: DataFrame | None) -> None:
     """Removes a table made by :func:`stored` that no later step reads."""
     path = getattr(df, "_griyaflow_path", None)
     if path:
-        spark = df.sparkSession
-        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+    _STORED.pop(path, None)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all tables that this application stored; results that were not computed yet can't be after it."""
+    for path, app in list(_STORED.items()):
+        if app == spark.sparkContext.applicationId:
+            _delete(spark, path)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _STORED else None
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -58,3 +58,18 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("k1", "old")], "k string, out string").write.parquet(done)
     resume(read(), "k", done, lambda b: b.select("k", F.lit("new").alias("out")), str(tmp_path / "state"))
     assert sorted(tuple(r) for r in spark.read.parquet(done).collect()) == [("k1", "old"), ("k2", "new")]
+
+
+def test_stored_tables_are_released(spark):
+    import os
+
+    from griyaflow import runtime
+
+    df = runtime.stored(spark.range(3), "probe")
+    path = df._griyaflow_path.removeprefix("file://")
+    assert df.count() == 3 and os.path.isdir(path)
+    runtime.drop_stored(df)
+    assert not os.path.isdir(path)
+    again = runtime.stored(spark.range(3), "probe")
+    runtime.release(spark)
+    assert not os.path.isdir(again._griyaflow_path.removeprefix("file://"))
