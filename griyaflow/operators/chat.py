@@ -94,6 +94,3 @@ def pending(rows: DataFrame, done: DataFrame, cached: DataFrame, key: str) -> Da
     """Plan of an incremental run: rows not done yet, ``cached`` where a usable text exists, else ``pending``."""
     left = rows.join(done, key, "left_anti").join(cached.select(key).distinct().withColumn("_c", F.lit(True)), key, "left")
     return left.withColumn("plan", F.when(F.col("_c"), "cached").otherwise("pending")).drop("_c")
-
-
-__all__ = ["annotation_tasks", "component", "pending", "prompt_text", "samples", "schema_letter", "sections_complete", "table_text", "usable"]
