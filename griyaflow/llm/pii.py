@@ -35,6 +35,8 @@ TYPES = ("email", "id_number", "phone", "address", "name")
 SAMPLE = 30_000
 WEIGHTS = 1 << 16
 _PART = 4_000
+#: Words and decisions that a task remembers at a time.
+REMEMBERED = 200_000
 
 # What the gazetteer labelers know.
 NAME_STARTS = ("tri", "su", "mul", "har", "sam", "nur", "pur", "kar", "mar", "tas", "war", "wi", "jum", "leg", "pon", "ruk", "sla", "gun", "dar", "par")
@@ -119,8 +121,11 @@ def _number_votes(kind: str, surface: str, words: _Words, start: int) -> tuple[s
     return _vote(dated, not dated), _vote(len(digits) < len(surface) or digits[0] == "4", digits.startswith("88")), _vote(good, bad)
 
 
-def candidates(text: str) -> list[tuple[str, int, int, str]]:
-    """(type, start, end, votes) of the whole text; names come as single words."""
+def candidates(text: str, parts: dict[str, bool] | None = None) -> list[tuple[str, int, int, str]]:
+    """(type, start, end, votes) of the whole text; names come as single words. ``parts`` remembers words looked up before."""
+    parts = {} if parts is None else parts
+    if len(parts) > REMEMBERED:
+        parts.clear()
     out: list[tuple[str, int, int, str]] = []
     words = _Words(text)
     taken = bytearray(len(text))  # places that an earlier type holds
@@ -146,7 +151,7 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
                 votes = _number_votes(kind, surface, words, s)
             out.append((kind, s, e, "".join(votes)))
             taken[s:e] = b"\x01" * (e - s)
-    cased = sum(1 for c in text if c.isupper()) / (1 + sum(1 for c in text if c.isalpha()))
+    cased = sum(map(str.isupper, text)) / (1 + sum(map(str.isalpha, text)))
     n = len(words.spans)
     for i, (s, e) in enumerate(words.spans):
         if e - s < 4:
@@ -158,7 +163,9 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
         word = text[s:e]
         low = word.lower()
         capital = word[0].isupper()
-        known = _name_part(low)
+        known = parts.get(low)
+        if known is None:
+            known = parts[low] = _name_part(low)
         if not capital and not known:
             continue
         before = text[words.spans[i - 1][0] : words.spans[i - 1][1]].lower() if i else ""
@@ -237,11 +244,12 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Vote patterns of all candidates, and the candidates of least hash as examples."""
     counts: Counter = Counter()
     kept: list[tuple[int, str, str, str]] = []
+    parts: dict[str, bool] = {}
     for pdf in batches:
         for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             if not text:
                 continue
-            for kind, s, e, votes in candidates(text):
+            for kind, s, e, votes in candidates(text, parts):
                 counts[kind, votes] += 1
                 h = zlib.crc32(f"{doc}:{s}:{kind}".encode())
                 if len(kept) < _PART:
@@ -289,15 +297,15 @@ def _joined_names(text: str, words: list[tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
-def mentions(text: str, weights: np.ndarray, known: dict[tuple[str, str], bool]) -> list[tuple[str, int, int]]:
-    """(type, start, end) of one text, in order, without overlaps."""
+def mentions(text: str, weights: np.ndarray, known: dict[tuple[str, str], bool], parts: dict[str, bool] | None = None) -> list[tuple[str, int, int]]:
+    """(type, start, end) of one text, in order, without overlaps. ``known`` and ``parts`` remember decisions and words."""
     accepted: dict[str, list[tuple[int, int]]] = {k: [] for k in TYPES}
-    for kind, s, e, votes in candidates(text):
+    for kind, s, e, votes in candidates(text, parts):
         surface = text[s:e]
         key = (kind + votes, surface.lower() if kind == "name" else surface)
         ok = known.get(key)
         if ok is None:
-            if len(known) > 200_000:
+            if len(known) > REMEMBERED:
                 known.clear()
             ok = known[key] = bool(weights[features(kind, surface, votes)].sum() > 0)
         if ok:
@@ -319,8 +327,9 @@ def find_mentions(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[tuple[str, str], bool] = {}
+        parts: dict[str, bool] = {}
         for pdf in batches:
-            rows = [(doc, k, s, e) for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) if text for k, s, e in mentions(text, weights, known)]
+            rows = [(doc, k, s, e) for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) if text for k, s, e in mentions(text, weights, known, parts)]
             yield pd.DataFrame(rows, columns=["doc_id", "pii_type", "start_pos", "end_pos"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -331,17 +340,18 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(doc_id, text) with every mention replaced by its type in brackets, the rest as it is."""
     weights = (model or Model(docs)).weights
 
-    def one(text: str, known: dict) -> str:
-        parts, at = [], 0
-        for k, s, e in mentions(text, weights, known):
-            parts += [text[at:s], f"[{k.upper()}]"]
+    def one(text: str, known: dict, parts: dict) -> str:
+        out, at = [], 0
+        for k, s, e in mentions(text, weights, known, parts):
+            out += [text[at:s], f"[{k.upper()}]"]
             at = e
-        return "".join([*parts, text[at:]])
+        return "".join([*out, text[at:]])
 
     @F.pandas_udf(T.StringType())
     def placed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict = {}
+        parts: dict = {}
         for texts in batches:
-            yield texts.map(lambda t: one(t, known) if t else t)
+            yield texts.map(lambda t: one(t, known, parts) if t else t)
 
     return docs.withColumn("text", placed("text")).select("doc_id", "text")
