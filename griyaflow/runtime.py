@@ -58,9 +58,12 @@ def release(spark: SparkSession) -> None:
 
 @atexit.register
 def _release_at_exit() -> None:
-    spark = SparkSession.getActiveSession() if _STORED else None
-    if spark is not None and spark.sparkContext._jsc is not None:
-        release(spark)
+    try:
+        spark = SparkSession.getActiveSession() if _STORED else None
+        if spark is not None and spark.sparkContext._jsc is not None:
+            release(spark)
+    except Exception:  # noqa: BLE001 - the session may be gone already; then its folder outlives it
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
