@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from griyaflow.runtime import stored
 
 RANGES = 64
+MOST_PROFILES = 1000
 ROUNDS = 240
 STEP = 0.5
 LEARN = 0.1
@@ -140,8 +141,13 @@ def pack_histogram(capacity: int, lens: np.ndarray, counts: np.ndarray) -> tuple
 
 def chunks(docs: DataFrame, profiles: DataFrame) -> DataFrame:
     """(profile_id, capacity, doc_id, chunk_no, first_token, len): full chunks and rests. docs: (doc_id, tokens)."""
-    use = profiles.select("profile_id", F.col("capacity_tokens").cast("long").alias("capacity")).filter("capacity > 0")
-    pairs = docs.filter("tokens > 0").select("doc_id", "tokens").join(F.broadcast(use))
+    # profiles are a parameter table of a few lines: every document meets them as literals, without a join
+    lines = profiles.select("profile_id", "capacity_tokens").filter("capacity_tokens > 0").limit(MOST_PROFILES + 1).collect()
+    if len(lines) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
+    each = [F.struct(F.lit(r["profile_id"]).cast("int").alias("profile_id"), F.lit(r["capacity_tokens"]).cast("long").alias("capacity")) for r in lines]
+    use = F.explode(F.array(*each).cast("array<struct<profile_id:int,capacity:bigint>>"))
+    pairs = docs.filter("tokens > 0").select("doc_id", "tokens", use.alias("u")).select("u.profile_id", "u.capacity", "doc_id", "tokens")
     n = F.ceil(F.col("tokens") / F.col("capacity"))
     cut = pairs.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     first = F.col("chunk_no") * F.col("capacity")
