@@ -1,10 +1,11 @@
 """Samples matching target category proportions, by the cube method.
 
 Every unit (house) is a set of categories, kept as bit masks. Inclusion probabilities come first: a
-logistic calibration finds one factor per category so that the expected sample has the asked size and,
-within each component, the target shares among the drawn units that show the component; units with more
-components are preferred, and categories whose pool is too small are taken nearly whole. Only sums over
-all units, one per category pair, reach the driver. The probabilities are then rounded to a sample by flight phases of the cube method, which move along
+logistic calibration finds one factor per category so that the expected sample has the asked size and
+each category its asked count, the greater of minimum and share x size, or its whole pool where that is
+smaller. Counts that exclude one another end in a compromise in proportion to what was asked; sizes,
+minimum counts and small pools are held hard. Only sums over all units, one per category pair, in PARTIAL
+parts at most, reach the driver. The probabilities are then rounded to a sample by flight phases of the cube method, which move along
 directions that leave every category's count unchanged until units are in or out:
 
 1. per partition: units with the same mask are interchangeable, so directions exchange probability
@@ -13,7 +14,10 @@ directions that leave every category's count unchanged until units are in or out
    of the category indicators, level by level, until few are left per plan;
 3. landing drops the balancing of one category after the other until nothing is fractional.
 
-A repair adds units, in a random order, to categories that ended below a minimum they could have met.
+A repair adds units, in a random order, to categories that ended below a minimum they could have met, and
+brings the sample back to its size with units that no minimum needs. Partitions of the flights are slots of
+the units' hashes, one per ``PER_SLOT`` units, and random numbers are seeded by plan and slot: the sample
+depends on the data and the seed alone, not on the cluster.
 
 Defined results: null or blank keys are no unit; a unit without any category can be drawn to fill the
 size; plan lines with null category, share or counts are read as 0 or empty; lines whose pool is too
@@ -33,13 +37,17 @@ from pyspark.sql import functions as F
 from griyaflow.runtime import stored
 
 WORD = 62
-#: Softness of the shares, against the size: targets that exclude one another end in a compromise.
-RIDGE = 3e-4
-#: Log-odds for each component that a unit shows, and for a category whose pool is too small.
-COMPLETE, SHORT = 2.0, 4.0
+#: How far a count may give way, against its asked number and the strain (log-odds) on it; minimum counts and pools that are too small give way less.
+SOFT, HARD = 0.01, 0.001
+#: Expected counts are calibrated to so many units; Newton's method stops at so many rounds, which the report then says.
+CLOSE, ROUNDS = 0.3, 300
 GROUP = 1500
-#: A share that misses its target by more is reported as off target.
-TOLERANCE = 0.01
+#: Units per slot of the first flight.
+PER_SLOT = 1 << 16
+#: Tasks of a calibration round, so partial sums of a plan that reach the driver, at most.
+PARTIAL = 32
+#: A line is met if the drawn units differ from the asked by this share of them, or by one unit, at most.
+TOLERANCE = 0.05
 
 
 class Flight:
@@ -125,144 +133,109 @@ def _words(n_cat: int) -> int:
 
 
 class Aim:
-    """What a plan asks of the calibration: size, and shares within components, as linear rows of the indicators."""
-
-    def __init__(self, size: float, groups: list[list[tuple[int, float, bool, int]]], n_cat: int):
-        """``groups``: per component its (category, share, pool is too small, least count)."""
-        self.groups, self.size, self.n_cat = groups, size, n_cat
-        self.least = {c: m for g in groups for c, _, _, m in g}
-        self.pinned: set[int] = set()
-        self.base = np.zeros(n_cat + 1)
-        for c, short in [(c, short) for g in groups for c, _, short, _ in g]:
-            self.base[c + 1] = SHORT if short else COMPLETE
-        self._set()
-
-    def _set(self) -> None:
-        self.rows, self.target = np.zeros((self.n_cat + 1, self.n_cat + 1)), np.zeros(self.n_cat + 1)
-        self.rows[0, 0], self.target[0] = 1.0, self.size
-        for c in self.pinned:
-            self.rows[c + 1, c + 1], self.target[c + 1] = 1.0, self.least[c]
-        for group in self.groups:
-            usual = [(c, s) for c, s, short, _ in group if not short and c not in self.pinned]
-            whole = sum(s for _, s in usual) or 1.0
-            for c, s in usual:
-                self.rows[c + 1, c + 1] = 1.0
-                for other, _ in usual:
-                    self.rows[c + 1, other + 1] -= s / whole
+    """What a plan asks of the calibration: a size and a count per category, with how far each may give way."""
+
+    def __init__(self, size: float, lines: list[tuple[int, float, int, bool]], n_cat: int):
+        """``lines``: (category, asked count, least count, pool is too small), counts no greater than the pool."""
+        self.least = {c: m for c, _, m, _ in lines}
+        self.target, self.ridge, self.used = np.zeros(n_cat + 1), np.full(n_cat + 1, 1.0), np.zeros(n_cat + 1)
+        self.target[0], self.ridge[0], self.used[0] = size, 1e-6, 1.0
+        for c, asked, _, short in lines:
+            self.target[c + 1], self.used[c + 1] = asked, 1.0
+            self.ridge[c + 1] = (HARD if short else SOFT) * max(1.0, asked)
 
     def pin(self, expected: np.ndarray) -> bool:
-        """Categories expected below their least count get that count as their aim instead of their share."""
-        below = {c for c, m in self.least.items() if expected[c + 1] < m - 0.5} - self.pinned
-        self.pinned |= below
-        if below:
-            self._set()
+        """Categories expected below their least count are to reach that count hard."""
+        below = [c for c, m in self.least.items() if expected[c + 1] < m - 0.5 and (self.target[c + 1] != m or self.ridge[c + 1] > HARD * max(1.0, m))]
+        for c in below:
+            self.target[c + 1], self.ridge[c + 1] = self.least[c], HARD * max(1.0, self.least[c])
         return bool(below)
 
-    def factors(self, lam: np.ndarray) -> np.ndarray:
-        return self.rows.T @ lam + self.base
-
-
-def calibrate(cells: DataFrame, n_cat: int, aims: dict[int, Aim], rounds: int = 40) -> dict[int, np.ndarray]:
-    """Factors (size, categories) per plan: probability = logistic(sum of the factors of a unit's categories).
 
-    ``cells``: (m0.., n) distinct masks with their units. Newton's method; per round each task sends one
-    gradient and one matrix of category pairs per plan."""
+class _Newton:
+    """Newton's method with backtracking on the convex dual of one plan's calibration."""
+
+    def __init__(self, aim: Aim):
+        self.aim, d = aim, len(aim.target)
+        self.lam = np.r_[-6.0, np.zeros(d - 1)]
+        self.best: tuple[np.ndarray, float, np.ndarray] | None = None  # last accepted point, its value, the move tried from it
+        self.done = False
+
+    def step(self, value: float, grad: np.ndarray, hess: np.ndarray) -> None:
+        """Sums over all units at ``lam``: of the log-partition, of the counts, of their covariances."""
+        aim = self.aim
+        value = value - aim.target @ self.lam + 0.5 * (aim.ridge * self.lam) @ self.lam
+        g = (grad + aim.ridge * self.lam - aim.target) * aim.used
+        if self.best is not None and value > self.best[1] + 1e-9 * max(1.0, abs(self.best[1])):
+            at, was, move = self.best
+            if np.abs(move).max() > 1e-6:
+                self.best, self.lam = (at, was, move / 2), at - move / 2
+                return
+        if np.abs(g).max() < CLOSE:
+            if not aim.pin(grad):
+                self.done = True
+                return
+            self.best, value = None, np.inf
+            g = (grad + aim.ridge * self.lam - aim.target) * aim.used
+        move = np.linalg.solve(hess + np.diag(aim.ridge), g)
+        move *= min(1.0, 12.0 / max(np.abs(move).max(), 1e-12))
+        self.best = None if value == np.inf else (self.lam, value, move)
+        self.lam = self.lam - move
+
+
+def calibrate(cells: DataFrame, n_cat: int, aims: dict[int, Aim], rounds: int = ROUNDS) -> tuple[dict[int, np.ndarray], set[int]]:
+    """Factors (size, categories) per plan: probability = logistic(sum of the factors of a unit's categories);
+    and the plans that did not come to rest.
+
+    ``cells``: (m0.., n) distinct masks with their units. A round sends, per plan, at most PARTIAL gradients
+    and matrices of category pairs."""
     d = n_cat + 1
-    lam = {k: np.r_[-6.0, np.zeros(n_cat)] for k in aims}
+    state = {k: _Newton(a) for k, a in aims.items()}
     words = [f"m{w}" for w in range(_words(n_cat))]
-    ridge = {k: np.r_[1e-6, np.full(n_cat, RIDGE * max(1.0, a.size))] for k, a in aims.items()}
-    live = set(aims)
-    for turn in range(rounds):
-        now = {k: aims[k].factors(lam[k]) for k in live}
+    for _ in range(rounds):
+        now = {k: s.lam for k, s in state.items() if not s.done}
+        if not now:
+            break
 
         def part(batches: Iterator[pd.DataFrame], now: dict[int, np.ndarray] = now) -> Iterator[pd.DataFrame]:
-            grad = {k: np.zeros(d) for k in now}
-            hess = {k: np.zeros((d, d)) for k in now}
+            sums = {k: np.zeros(1 + d + d * d) for k in now}
             for pdf in batches:
                 x, n = _indicators(pdf[words].to_numpy(np.int64), n_cat), pdf["n"].to_numpy(float)
                 for k, f in now.items():
-                    p = 1 / (1 + np.exp(-np.clip(f @ x, -40, 40)))
-                    grad[k] += x @ (n * p)
-                    hess[k] += (x * (n * p * (1 - p))) @ x.T
-            yield pd.DataFrame({"k": list(now), "g": [grad[k].tobytes() for k in now], "h": [hess[k].tobytes() for k in now]})
-
-        sums = cells.mapInPandas(part, "k int, g binary, h binary").collect()
-        for k in list(live):
-            expected = sum((np.frombuffer(r["g"]) for r in sums if r["k"] == k), np.zeros(d))
-            rows = aims[k].rows
-            g = rows @ expected + ridge[k] * lam[k] - aims[k].target
-            near = np.abs(g).max() < 0.3
-            if (near or turn % 10 == 9) and aims[k].pin(expected):
-                rows = aims[k].rows
-                g = rows @ expected + ridge[k] * lam[k] - aims[k].target
-            elif near:
-                live.discard(k)
-                continue
-            h = rows @ sum((np.frombuffer(r["h"]).reshape(d, d) for r in sums if r["k"] == k), np.zeros((d, d))) @ rows.T + np.diag(ridge[k])
-            move = np.linalg.solve(h, g)
-            lam[k] = lam[k] - move * min(1.0, 2.0 / max(np.abs(move).max(), 1e-12))
-        if not live:
-            break
-    return {k: aims[k].factors(lam[k]) for k in aims}
+                    at = f @ x
+                    p = 1 / (1 + np.exp(-np.clip(at, -40, 40)))
+                    sums[k] += np.r_[n @ np.logaddexp(0, at), x @ (n * p), ((x * (n * p * (1 - p))) @ x.T).ravel()]
+            yield pd.DataFrame({"k": list(now), "s": [sums[k].tobytes() for k in now]})
 
+        total = {k: np.zeros(1 + d + d * d) for k in now}
+        for r in cells.coalesce(PARTIAL).mapInPandas(part, "k int, s binary").collect():
+            total[r["k"]] = total[r["k"]] + np.frombuffer(r["s"])
+        for k, s in total.items():
+            state[k].step(float(s[0]), s[1 : d + 1], s[d + 1 :].reshape(d, d))
+    return {k: s.lam for k, s in state.items()}, {k for k, s in state.items() if not s.done}
 
-def _first_flight(n_cat: int, factors: dict[int, np.ndarray], key: str, seed: int):
-    """Level 1, per partition: streams units, resolves all but one per mask and plan."""
+
+def _first_flight(n_cat: int, factors: dict[int, np.ndarray], key: str):
+    """Level 1, over one slot of units: resolves all but one per mask and plan."""
     words = [f"m{w}" for w in range(_words(n_cat))]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_: dict[tuple, tuple] = {}
-        rng = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            masks = pdf[words].to_numpy(np.int64)
-            ids, o = pdf[key].to_numpy(), pdf["o"].to_numpy()
-            rng = rng or _seed(seed, o[0])
-            x = _indicators(masks, n_cat)
-            order = np.lexsort((o, *masks.T))
-            sorted_masks = masks[order]
-            starts = np.flatnonzero(np.r_[True, (sorted_masks[1:] != sorted_masks[:-1]).any(axis=1)])
-            ends = np.r_[starts[1:], len(order)]
-            for k, f in factors.items():
-                p = 1 / (1 + np.exp(-np.clip(f @ x, -40, 40)))
-                took, frac, prob = [], [], []
-                # equal probabilities within a mask: exchanging them all ends in a random floor(sum) and one fraction
-                first_p = p[order[starts]]
-                total = first_p * (ends - starts)
-                whole = np.floor(total + 1e-9).astype(int)
-                rest = np.maximum(0.0, total - whole)
-                for s, w, r in zip(starts, whole, rest, strict=True):
-                    if w:
-                        took.append(order[s : s + w])
-                    if r > 1e-9:
-                        frac.append(order[s + w])
-                        prob.append(r)
-                if took:
-                    at = np.concatenate(took)
-                    yield pd.DataFrame({"plan_id": k, key: ids[at], **{c: masks[at, i] for i, c in enumerate(words)}, "p": 1.0})
-                out = []
-                for at, r in zip(frac, prob, strict=True):
-                    cell = (k, *masks[at])
-                    before = open_.get(cell)
-                    if before is None:
-                        open_[cell] = (ids[at], r)
-                        continue
-                    pair = np.array([before[1], r])
-                    pivotal(pair, rng)
-                    del open_[cell]
-                    for unit, q in ((before[0], pair[0]), (ids[at], pair[1])):
-                        if q >= 1:
-                            out.append((unit, masks[at]))
-                        elif q > 0:
-                            open_[cell] = (unit, q)
-                if out:
-                    yield pd.DataFrame({"plan_id": k, key: [u for u, _ in out], **{c: [m[i] for _, m in out] for i, c in enumerate(words)}, "p": 1.0})
-        if open_:
-            cells = list(open_.items())
-            for i in range(0, len(cells), 10000):
-                some = cells[i : i + 10000]
-                yield pd.DataFrame({"plan_id": [c[0] for c, _ in some], key: [u for _, (u, _) in some], **{w: [c[1 + j] for c, _ in some] for j, w in enumerate(words)}, "p": [q for _, (_, q) in some]})
+    def run(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*words, "o", key], ignore_index=True)
+        masks, ids = pdf[words].to_numpy(np.int64), pdf[key].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (masks[1:] != masks[:-1]).any(axis=1)])
+        sizes = np.diff(np.r_[starts, len(pdf)])
+        x = _indicators(masks[starts], n_cat)
+        out = []
+        for k, f in factors.items():
+            # equal probabilities within a mask: exchanging them all, in random order, ends in floor(sum) units and one fraction
+            total = sizes / (1 + np.exp(-np.clip(f @ x, -40, 40)))
+            whole = np.floor(total + 1e-9).astype(int)
+            rest = np.where(total - whole > 1e-9, total - whole, 0.0)
+            at = np.repeat(starts, whole) + np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+            open_ = np.flatnonzero(rest)
+            at, p = np.r_[at, (starts + whole)[open_]], np.r_[np.ones(len(at)), rest[open_]]
+            out.append(pd.DataFrame({"plan_id": k, key: ids[at], **{c: masks[at, i] for i, c in enumerate(words)}, "p": p}))
+        return pd.concat(out, ignore_index=True)
 
     return run
 
@@ -300,25 +273,26 @@ def _group_flight(n_cat: int, key: str, seed: int, land: bool):
     return run
 
 
-def draw(units: DataFrame, cells: DataFrame, n_cat: int, aims: dict[int, Aim], key: str, seed: int) -> DataFrame:
-    """(plan_id, key, m..) of the drawn units."""
+def draw(units: DataFrame, cells: DataFrame, n_units: int, n_cat: int, aims: dict[int, Aim], key: str, seed: int) -> tuple[DataFrame, set[int]]:
+    """(plan_id, key, m..) of the drawn units, and the plans whose calibration did not come to rest."""
     words = [f"m{w}" for w in range(_words(n_cat))]
     key_type = units.schema[key].dataType.simpleString()
     ddl = f"plan_id int, {key} {key_type}, {', '.join(f'{w} long' for w in words)}, p double"
-    factors = calibrate(cells, n_cat, aims)
-    level = stored(units.withColumn("o", F.xxhash64(key, F.lit(seed).cast("long"))).mapInPandas(_first_flight(n_cat, factors, key, seed), ddl), "flight")
+    factors, restless = calibrate(cells, n_cat, aims)
+    # few bytes are much work here: partitions are asked for by number, else they are coalesced by size
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = -(-n_units // PER_SLOT)
+    slotted = units.withColumn("o", F.xxhash64(key, F.lit(seed).cast("long"))).withColumn("slot", F.pmod(F.xxhash64("o"), F.lit(slots)).cast("int"))
+    level = stored(slotted.repartition(min(slots, tasks), "slot").groupBy("slot").applyInPandas(_first_flight(n_cat, factors, key), ddl), "flight")
     done = [level.filter("p >= 1")]
     open_ = level.filter("p < 1")
-    slots = 1 << 12
+    depth = 0
     while True:
         widest = open_.groupBy("plan_id").count().agg(F.max("count")).first()[0] or 0
-        last = widest <= GROUP
-        slots = 1 if last else min(slots // 2, max(1, -(-widest // GROUP))) or 1
-        # equal masks meet in one group: first interchanged, then balanced against the others
-        # a count of partitions by name: few bytes are much work here, so they are not to be coalesced by size
-        spread = min(len(aims) * slots, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        slotted = open_.withColumn("slot", F.pmod(F.xxhash64(*words), F.lit(slots)).cast("int")).repartition(max(1, spread), "plan_id", "slot")
-        level = stored(slotted.groupBy("plan_id", "slot").applyInPandas(_group_flight(n_cat, key, seed + slots, slots == 1), ddl), "flight")
+        slots, depth = max(1, -(-widest // GROUP)), depth + 1
+        # equal masks meet in one group: first interchanged, then balanced against the others; a group leaves n_cat + 1 units at most
+        slotted = open_.withColumn("slot", F.pmod(F.xxhash64(*words), F.lit(slots)).cast("int")).repartition(min(len(aims) * slots, tasks), "plan_id", "slot")
+        level = stored(slotted.groupBy("plan_id", "slot").applyInPandas(_group_flight(n_cat, key, seed + depth, slots == 1), ddl), "flight")
         done.append(level.filter("p >= 1"))
         if slots == 1:
             break
@@ -326,7 +300,7 @@ def draw(units: DataFrame, cells: DataFrame, n_cat: int, aims: dict[int, Aim], k
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return out.drop("p")
+    return out.drop("p"), restless
 
 
 def category_masks(rows: DataFrame, key: Column, found: list[Column], n_cat: int) -> DataFrame:
@@ -366,38 +340,70 @@ def sample_to_plan(units: DataFrame, plan: list[dict], cats: list[tuple[str, str
     pool = {r["cat"]: r["n"] or 0 for r in category_counts(units, n_cat, []).collect()} if n_cat else {}
     n_units = units.count()
     cells = stored(units.groupBy(*words).agg(F.count("*").alias("n")), "cells")
-    aims, least = {}, []
+    aims, least, sizes = {}, [], {}
     for k in sorted({r["plan_id"] for r in plan}):
         lines = [r for r in plan if r["plan_id"] == k]
-        size = max(float(r["sample_size"] or 0) for r in lines)
-        groups: dict[str, list] = {}
+        size = min(max(float(r["sample_size"] or 0) for r in lines), n_units)
+        aimed = []
         for r in lines:
             c = code[(r["component"], r["category"])]
-            asked = max(float(r["min_count"] or 0), float(r["target_share"] or 0) * size)
-            groups.setdefault(r["component"], []).append((c, float(r["target_share"] or 0), pool.get(c, 0) < asked, min(int(r["min_count"] or 0), pool.get(c, 0))))
-            least.append((k, *groups[r["component"]][-1][::3]))
-        aims[k] = Aim(min(size, 0.999 * n_units), list(groups.values()), n_cat)
-    drawn = stored(draw(units, cells, n_cat, aims, "unit", seed), "drawn") if aims and n_units else spark.createDataFrame([], "plan_id int, unit string, " + ", ".join(f"{w} long" for w in words))
-    # repair: a small category that ended below its minimum takes the first units, in random order, that are not in
-    have = {(r["plan_id"], r["cat"]): r["n"] or 0 for r in category_counts(drawn, n_cat, ["plan_id"]).collect()}
+            asked, have = max(float(r["min_count"] or 0), float(r["target_share"] or 0) * float(r["sample_size"] or 0)), pool.get(c, 0)
+            aimed.append((c, min(asked, have), min(int(r["min_count"] or 0), have), have < asked))
+            least.append((k, c, aimed[-1][2]))
+        sizes[k] = int(size)
+        aims[k] = Aim(min(size, 0.999 * n_units), aimed, n_cat)
+    drawn, restless = spark.createDataFrame([], "plan_id int, unit string, " + ", ".join(f"{w} long" for w in words)), set()
+    if aims and n_units:
+        drawn, restless = draw(units, cells, n_units, n_cat, aims, "unit", seed)
+        drawn = repaired(units, stored(drawn, "drawn"), n_cat, least, sizes, seed)
+    lines = spark.createDataFrame(
+        [(r["plan_id"], r["component"], r["category"], float(r["target_share"] or 0), int(r["min_count"] or 0), int(r["sample_size"] or 0), code[(r["component"], r["category"])], int(pool.get(code[(r["component"], r["category"])], 0)), r["plan_id"] not in restless) for r in plan],
+        "plan_id int, component string, category string, target_share double, min_count int, sample_size int, cat int, pool long, calibrated boolean",
+    )
+    counts = category_counts(drawn, n_cat, ["plan_id"]).withColumnRenamed("n", "drawn")
+    drawn_sizes = drawn.groupBy("plan_id").agg(F.count("*").alias("sample_drawn"))
+    report = lines.join(counts, ["plan_id", "cat"], "left").join(drawn_sizes, "plan_id", "left").fillna(0, ["drawn", "sample_drawn"])
+    asked = F.greatest(F.col("min_count").cast("double"), F.col("target_share") * F.col("sample_size"))
+    shown = F.sum("drawn").over(Window.partitionBy("plan_id", "component"))
+    ratio = lambda n: F.coalesce(F.try_divide(F.col("drawn"), n), F.lit(0.0))
+    report = report.withColumn("asked", asked).withColumn("share", ratio(F.col("sample_drawn"))).withColumn("share_in_component", ratio(shown)).withColumn("residual", F.col("drawn") - F.col("asked"))
+    off = F.greatest(F.lit(1.0), F.lit(TOLERANCE) * F.col("asked"))
+    status = F.when(F.col("pool") < F.col("asked"), "pool_too_small").when(F.col("drawn") < F.col("min_count"), "below_minimum").when(F.abs("residual") <= off, "met")
+    return drawn.select("plan_id", "unit"), report.withColumn("status", status.when(F.col("residual") < 0, "below_target").otherwise("above_target")).drop("cat")
+
+
+def repaired(units: DataFrame, drawn: DataFrame, n_cat: int, least: list[tuple[int, int, int]], sizes: dict[int, int], seed: int) -> DataFrame:
+    """``drawn`` with the units that its minimum counts lack, then brought to its size: surplus units leave that no
+    minimum needs, missing ones come in; all in an order of hashes. A surplus without such units stays."""
+    spark = units.sparkSession
+    order = [F.xxhash64("unit", F.lit(seed).cast("long")), F.col("unit")]
+    first = lambda rows, by, col: rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("place") <= F.col(col))
+
+    def counts() -> dict[tuple[int, int], int]:
+        return {(r["plan_id"], r["cat"]): r["n"] or 0 for r in category_counts(drawn, n_cat, ["plan_id"]).collect()}
+
+    have = counts()
     gaps = [(k, c, n - have.get((k, c), 0)) for k, c, n in least if n > have.get((k, c), 0)]
     if gaps:
         need = spark.createDataFrame(gaps, "plan_id int, cat int, need int")
         bit = F.array(*[F.shiftright(f"m{c // WORD}", c % WORD).bitwiseAND(1) == 1 for c in range(n_cat)])
         lacking = units.withColumn("cat", F.explode(F.filter(F.transform(bit, lambda x, i: F.when(x, i)), lambda i: i.isNotNull()))).join(F.broadcast(need), "cat")
-        lacking = lacking.join(drawn.select("plan_id", "unit"), ["plan_id", "unit"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("plan_id", "cat").orderBy(F.xxhash64("unit", F.lit(seed).cast("long")), "unit"))
-        more = lacking.withColumn("place", place).filter(F.col("place") <= max(n for _, _, n in gaps)).filter("place <= need").select(*drawn.columns).distinct()
+        lacking = lacking.join(drawn.select("plan_id", "unit"), ["plan_id", "unit"], "left_anti").filter(F.col("need") > 0)
+        more = first(lacking.withColumn("most", F.lit(max(n for _, _, n in gaps))), ["plan_id", "cat"], "most").filter("place <= need").select(*drawn.columns).distinct()
         drawn = stored(drawn.unionByName(more), "drawn")
-    lines = spark.createDataFrame(
-        [(r["plan_id"], r["component"], r["category"], float(r["target_share"] or 0), int(r["min_count"] or 0), int(r["sample_size"] or 0), code[(r["component"], r["category"])], int(pool.get(code[(r["component"], r["category"])], 0))) for r in plan],
-        "plan_id int, component string, category string, target_share double, min_count int, sample_size int, cat int, pool long",
-    )
-    counts = category_counts(drawn, n_cat, ["plan_id"]).withColumnRenamed("n", "drawn")
-    sizes = drawn.groupBy("plan_id").agg(F.count("*").alias("sample_drawn"))
-    report = lines.join(counts, ["plan_id", "cat"], "left").join(sizes, "plan_id", "left").fillna(0, ["drawn", "sample_drawn"])
-    asked = F.greatest(F.col("min_count").cast("double"), F.col("target_share") * F.col("sample_size"))
-    shown = F.sum("drawn").over(Window.partitionBy("plan_id", "component"))
-    report = report.withColumn("asked", asked).withColumn("share", F.coalesce(F.try_divide(F.col("drawn"), shown), F.lit(0.0))).withColumn("residual", F.col("share") - F.col("target_share"))
-    status = F.when(F.col("pool") < F.col("asked"), "pool_too_small").when(F.col("drawn") < F.col("min_count"), "below_minimum").when(F.abs("residual") <= TOLERANCE, "met").otherwise("off_target")
-    return drawn.select("plan_id", "unit"), report.withColumn("status", status).drop("cat")
+        have = counts()
+    n = {r["plan_id"]: r["count"] for r in drawn.groupBy("plan_id").count().collect()}
+    over, under = {k: n.get(k, 0) - s for k, s in sizes.items() if n.get(k, 0) > s}, {k: s - n.get(k, 0) for k, s in sizes.items() if n.get(k, 0) < s}
+    if over:
+        kept = {k: [0] * _words(n_cat) for k in over}
+        for k, c, m in least:
+            if k in over and have.get((k, c), 0) - over[k] < m:
+                kept[k][c // WORD] |= 1 << (c % WORD)
+        need = spark.createDataFrame([(k, over[k], *kept[k]) for k in over], "plan_id int, surplus int, " + ", ".join(f"k{w} long" for w in range(_words(n_cat))))
+        free = drawn.join(F.broadcast(need), "plan_id").filter(" AND ".join(f"m{w} & k{w} = 0" for w in range(_words(n_cat))))
+        drawn = drawn.join(first(free.withColumn("most", F.lit(max(over.values()))), ["plan_id"], "most").filter("place <= surplus").select("plan_id", "unit"), ["plan_id", "unit"], "left_anti")
+    if under:
+        need = F.explode(F.array(*[F.struct(F.lit(k).alias("plan_id"), F.lit(m).alias("missing")) for k, m in under.items()]))
+        spare = units.withColumn("need", need).select("*", "need.*").join(drawn.select("plan_id", "unit"), ["plan_id", "unit"], "left_anti")
+        drawn = drawn.unionByName(first(spare.withColumn("most", F.lit(max(under.values()))), ["plan_id"], "most").filter("place <= missing").select(*drawn.columns))
+    return stored(drawn, "drawn") if over or under else drawn

@@ -54,14 +54,22 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return _sampled(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report)}
-SQL = {
-    "p1_found": r"""
+def p1_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Of the report: pool and asked count of every line, and how many houses its sample holds."""
+    return _sampled(spark, d)[1].select("plan_id", "component", "category", "pool", F.round("asked", 6).alias("asked"), "sample_drawn")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p1_lines)}
+_POOLS = r"""
 WITH r AS (SELECT upper(trim(house_id)) AS h, regexp_replace(lower(trim(kelayakan_rumah)), '[ _-]+', '_', 'g') AS kel, images FROM sample_15 WHERE trim(house_id) <> ''),
 i AS (SELECT h, unnest(images) AS im FROM r),
 c AS (SELECT 'kelayakan_rumah' AS component, kel AS category, h FROM r
   UNION SELECT 'atap', lower(trim(im.material_atap)), h FROM i UNION SELECT 'dinding', lower(trim(im.material_dinding)), h FROM i UNION SELECT 'lantai', lower(trim(im.material_lantai)), h FROM i),
 n AS (SELECT component, category, count(DISTINCT h) AS n FROM c GROUP BY 1, 2)
-SELECT plan_id, p.component, p.category FROM sample_plan p LEFT JOIN n USING (component, category) WHERE coalesce(n, 0) < greatest(min_count, target_share * sample_size)
-""",
+"""
+SQL = {
+    "p1_found": _POOLS + "SELECT plan_id, p.component, p.category FROM sample_plan p LEFT JOIN n USING (component, category) WHERE coalesce(n, 0) < greatest(min_count, target_share * sample_size)",
+    "p1_lines": _POOLS
+    + """SELECT plan_id, p.component, p.category, coalesce(n, 0) AS pool, round(greatest(min_count, target_share * sample_size), 6)::DOUBLE AS asked,
+least(sample_size, (SELECT count(DISTINCT h) FROM r))::BIGINT AS sample_drawn FROM sample_plan p LEFT JOIN n USING (component, category)""",
 }

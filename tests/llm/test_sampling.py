@@ -49,7 +49,27 @@ def test_shares_minimum_and_shortage(spark, tmp_path):
     assert report[1, "z"]["drawn"] == 1 and report[1, "z"]["pool"] == 1
     assert sorted((r["plan_id"], r["category"]) for r in p1_found(spark, d).collect()) == [(2, "none"), (2, "z")]
     drawn = [r for r in p1_sample(spark, d).collect() if r["plan_id"] == 1]
-    assert len({r["house_id"] for r in drawn}) == len(drawn) and abs(len(drawn) - 200) <= 3
+    assert len({r["house_id"] for r in drawn}) == len(drawn) == 200
+
+
+def test_conflicts_are_told_and_samples_are_repeatable(spark, tmp_path):
+    """Half of the houses show no roof, so a size of 600 can't hold 600 roofs; the counts in the report are those of the sample."""
+    rng = np.random.default_rng(5)
+    rows = [row(i, f"h{i}", "layak" if rng.random() < 0.5 else "tidak layak", images=[image(material_atap="ab"[int(rng.random() < 0.5)])] if rng.random() < 0.5 else None) for i in range(1000)]
+    plan = [(1, "atap", "a", 0.5, 0, 600), (1, "atap", "b", 0.5, 0, 600), (1, "kelayakan_rumah", "layak", 0.3, 0, 600), (2, "atap", "a", 0.2, 0, 100), (2, "atap", "b", 0.3, 0, 100), (2, "kelayakan_rumah", "layak", 0.8, 0, 100)]
+    d = plan_tables(spark, tmp_path, rows, plan)
+    samples = []
+    for n in ("4", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        samples.append(sorted((r["plan_id"], r["house_id"]) for r in p1_sample(spark, d).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert samples[0] == samples[1] and [sum(k == p for k, _ in samples[0]) for p in (1, 2)] == [600, 100]
+    roof = {r["house_id"].upper(): {i["material_atap"] for i in r["images"] or []} for r in spark.read.parquet(f"{d}/sample_15.parquet").collect()}
+    report = {(r["plan_id"], r["category"]): r for r in p1_report(spark, d).collect()}
+    for k, c in ((1, "a"), (1, "b"), (2, "a"), (2, "b")):
+        n, r = sum(c in roof[h] for p, h in samples[0] if p == k), report[k, c]
+        assert r["drawn"] == n and r["share"] == n / r["sample_size"] and (r["status"] == "met") == (abs(n - r["asked"]) <= max(1, 0.05 * r["asked"])) and r["calibrated"]
+    assert report[1, "a"]["status"] in ("below_target", "pool_too_small") and report[2, "b"]["status"] == "met" and report[2, "layak"]["status"] == "met"
 
 
 def test_empty(spark, tmp_path):
@@ -62,5 +82,5 @@ def test_empty(spark, tmp_path):
 def test_more_categories_than_a_word(spark):
     code = {f"c{i}": i for i in range(130)}
     assert balanced._words(130) == 3 and len(balanced.bits_of(spark.range(1)["id"].cast("string"), code, 3)) == 3
-    aim = Aim(10, [[(i, 1 / 130, False, 0) for i in range(130)]], 130)
-    assert aim.rows.shape == (131, 131)
+    aim = Aim(10, [(i, 1 / 13, 0, False) for i in range(130)], 130)
+    assert aim.target.shape == aim.ridge.shape == (131,)
