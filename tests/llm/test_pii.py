@@ -1,9 +1,15 @@
+import os
+
 import numpy as np
+import pytest
 
 from griyaflow.llm import pii
+from griyaflow.runtime import table
+from tests.compare import FOLDER
 from tests.houses import clashing
 
-NAMES = ["Trikajono Setanegara", "Harwakirna", "Nursipandri binti Samlinto", "Purdiyem K.", "T. Wirayudha"]
+NAMES = [f"{a}{b} {c}{d}" for a in ("Tri", "Har", "Nur", "Pur", "Wi") for b in ("kajono", "wakirna", "sipandri", "diyem") for c in ("Seta", "Wira") for d in ("negara", "yudha")]
+NAMES += ["Harwakirna", "Nursipandri binti Samlinto", "Purdiyem K.", "T. Wirayudha"]
 LINES = [
     ("Surveyor {} mencatat ulang label pada 2-3-2024.", "name"), ("Kepala keluarga {} lahir tahun 1990.", "name"), ("HP/WA: {} dihubungi.", "phone"), ("NIK {} tercatat.", "id_number"),
     ("Kirim berkas ke {} paling lambat besok.", "email"), ("Rumah terletak di {}, Desa Kalilumbir.", "address"), ("Sambungan listrik menumpang, kode bayar 8802200570160046.", None),
@@ -16,15 +22,15 @@ VALUES = {
 }
 
 
-def corpus(seed, n=400):
+def corpus(seed, n=400, lines=LINES, values=VALUES):
     """Texts with the places of their mentions."""
     rng = np.random.default_rng(seed)
     out = []
     for i in range(n):
         text, want = "", []
-        for k in rng.permutation(len(LINES))[:6]:
-            line, kind = LINES[k]
-            value = VALUES[kind][rng.integers(len(VALUES[kind]))] if kind else ""
+        for k in rng.permutation(len(lines))[:6]:
+            line, kind = lines[k]
+            value = values[kind][rng.integers(len(values[kind]))] if kind else ""
             if kind:
                 at = len(text) + line.index("{")
                 want.append((kind, at, at + len(value)))
@@ -62,11 +68,41 @@ def test_empty_null_long_repeated(spark):
     assert {r["doc_id"]: r["text"] for r in pii.redact(docs.filter("doc_id < 3")).collect()} == {1: None, 2: ""}
 
 
-def test_joined_names():
+def test_joined_names(spark):
+    class Capitals(pii.Decider):
+        def accepts(self, c, votes):
+            return c[0] == pii.NAME and c[3] in ("seta", "tri", "su", "har")
+
     text = "A. Seta B.. Pak Tri binti Su, X. Y Har"
-    find = lambda *ws: [(text.index(w), text.index(w) + len(w)) for w in ws]
-    spans = pii._joined_names(text, find("Seta", "Tri", "Su", "Har"))
-    assert [text[s:e] for s, e in spans] == ["A. Seta B.", "Tri binti Su", "Har"]
+    assert [text[s:e] for _, s, e in Capitals(np.zeros(1), {}).mentions(pii.candidates(text))] == ["A. Seta B.", "Tri binti Su", "Har"]
+
+
+OTHER_LINES = [
+    ("Pak {} tinggal di sini sejak lama.", "name"), ("Menurut {}, hujan turun semalam.", "name"), ("We met {} again in May.", "name"), ("Pemohon: {}\n", "name"), ("Saksi {} memberi keterangan singkat.", "name"),
+    ("Silakan hubungi {} untuk janji.", "phone"), ("Telp {} tidak aktif.", "phone"), ("KTP bernomor {} hilang.", "id_number"), ("Kartu keluarga {} baru.", "id_number"), ("Surel {} sudah dibalas.", "email"), ("Write to {} please.", "email"),
+    ("Kantor beralamat di {}, Kelurahan Sukamaju.", "address"), ("Alamat: {}.", "address"), ("Harga total Rp 3.450.500 sudah lunas.", None), ("Tiket 20250011223344 masih dibuka hari Senin di Surabaya.", None),
+    ("Laporan itu dibaca ulang. Gambar dikirim ke @admin_desa lewat aplikasi.", None), ("Jalan menuju pasar di Bandung rusak sepanjang 30 meter.", None),
+]
+OTHER_VALUES = {
+    "name": ["Budi Santoso", "Siti Aminah", "Gregorius Tambunan", "Hotman Silalahi", "Ali", "Eni", "John Smith", "Yohanes Krisnawan", "R. Maulana", "Ketut Suardana", "Magdalena"], "phone": ["0812-3344-5566", "+62 811 2233 4455", "(0341) 556677", "081298765432"],
+    "id_number": ["3573014506870001", "3201 0145 0687 0002", "33.74.01.450687.0003"], "email": ["info@kelurahan.id", "rina.w [at] mail.test", "tono_77@firma.example.net"],
+    "address": ["Jl. Diponegoro No. 5", "Gang Mawar III/12", "Dusun Krajan RT 01/RW 03", "Perumahan Asri Jaya Blok D-4"],
+}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_unseen_names_lines_and_noise(spark):
+    """Names, lines, values and noise that the documents of the model hold nowhere."""
+    model = pii.Model(table(spark, FOLDER, "documents"))
+    held = corpus(4, 300, OTHER_LINES, OTHER_VALUES)
+    decide = model.decider()
+    want = {(i, *w) for i, _, ws in held for w in ws}
+    have = {(i, *w) for i, t, _ in held for w in decide.mentions(pii.candidates(t))}
+    for kind in pii.TYPES:
+        w, h = {x for x in want if x[1] == kind}, {x for x in have if x[1] == kind}
+        assert len(w & h) >= 0.9 * len(w) and len(w & h) >= 0.9 * len(h), (kind, len(w & h), len(w), len(h))
+    moved = [name for kind, name, yes, no, *_ in model.labelers if kind == "name" and abs(yes - pii.BELIEF[name][0][0]) + abs(no - pii.BELIEF[name][1][1]) > 0.05]
+    assert len(moved) >= 3, model.labelers
 
 
 def test_em_recovers_reliabilities():
