@@ -1,12 +1,19 @@
 """Filling containers of fixed capacity: the configuration LP over the length histogram.
 
 Texts longer than the capacity are cut into full chunks and a rest; nothing else is cut. Only the
-histogram of lengths, at most ``capacity`` counts, is solved: multiplicative weights hold a price per
-length, a knapsack DP finds the configuration (multiset of lengths) of the highest price, fractional
-bins are given to it, and the prices of the lengths that it covers fall. Rounding floors the bins of
-each configuration and packs what is left best-fit decreasing, on the histogram too. The bins reach the
+histogram of lengths, at most ``capacity`` counts, is solved. The LP asks for the fewest bins, in fractions
+of configurations (multisets of lengths that fit), that cover all counts. Its first columns are the bins of
+best-fit decreasing. Multiplicative weights then hold a price per length; a knapsack DP finds the configuration
+of the highest price, which gets bins, and the prices of its lengths fall by the share of their counts that it
+covers. Counts stay fixed: they are covered several times over, and the bins are scaled back to once. That is
+an upper bound; counts x prices over the price of the best configuration is a lower one. The rounds end when
+the bounds are within ``GAP``, or when as many rounds as PATIENCE times the lengths narrowed nothing; both are
+reported. Rounding takes the whole bins of each configuration, then single bins by falling fractions while their items are
+there, then best-fit for the rest; of this and the first columns the fewer bins are taken. The bins reach the
 items as runs of ranks within a length, so the work on items is one ranking and one lookup.
 
+Above ``GRID`` tokens of capacity the DP reads lengths in steps of capacity / GRID, rounded up.
+
 Defined results: items of no size are in no bin; a null or non-positive capacity packs nothing; equal
 lengths are ranked by a seeded hash of their ids; repeated rows are items each; an empty table gives none.
 """
@@ -24,11 +31,13 @@ from griyaflow.runtime import stored
 
 RANGES = 64
 MOST_PROFILES = 1000
-ROUNDS = 240
+#: Relative gap between the bounds of the LP at which it rests; rounds per length (of 50 at least) without a narrower gap after which it does.
+GAP = 1e-4
+PATIENCE = 4
+#: Share of its scarcest length's count that a configuration covers in a round, and how fast prices fall with coverage.
 STEP = 0.5
-LEARN = 0.1
-#: Long texts are dearer from the start: short ones fill gaps later.
-LONG = 1.0
+LEARN = 0.5
+GRID = 8192
 
 
 def best_configuration(capacity: int, lens: np.ndarray, price: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -56,30 +65,6 @@ def best_configuration(capacity: int, lens: np.ndarray, price: np.ndarray, most:
     return counts
 
 
-def solve_lp(capacity: int, lens: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[list[tuple[np.ndarray, float]], float]:
-    """Configurations with fractional bins, and a lower bound of all bins from the best dual prices."""
-    left, weight, chosen = counts.astype(float), 1 + LONG * lens / capacity, []
-    bound = float((lens * counts).sum()) / capacity
-    for _ in range(rounds):
-        live = np.flatnonzero(left >= 1)
-        if not len(live):
-            break
-        price = lens[live] / capacity * weight[live]  # by size, so that a full bin is worth most while prices are level
-        config = best_configuration(capacity, lens[live], price, np.maximum(left[live], 1).astype(np.int64))
-        worth = float((config * price).sum())
-        if len(live) == len(lens) and worth > 0 and (left >= capacity // lens).all():  # prices of all configurations
-            bound = max(bound, float((counts * price).sum()) / worth)
-        full = np.zeros(len(lens), np.int64)
-        full[live] = config
-        used = np.flatnonzero(full)
-        fits = float((left[used] / full[used]).min())
-        bins = fits if fits <= 2 else STEP * fits
-        chosen.append((full, bins))
-        left[used] -= full[used] * bins
-        weight[used] *= np.exp(-LEARN * full[used] * bins / counts[used])
-    return chosen, bound
-
-
 def best_fit(capacity: int, lens: np.ndarray, counts: np.ndarray) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     """Best-fit decreasing on a histogram: [(((length, times), ...), bins)]."""
     open_: dict[int, list[tuple[tuple, int]]] = {}
@@ -114,29 +99,87 @@ def best_fit(capacity: int, lens: np.ndarray, counts: np.ndarray) -> list[tuple[
     return [x for groups in open_.values() for x in groups]
 
 
-def pack_histogram(capacity: int, lens: np.ndarray, counts: np.ndarray) -> tuple[pd.DataFrame, float]:
-    """Runs (len, first_rank, n, first_bin, per_bin) that give every item its bin, and the lower bound of bins."""
-    chosen, bound = solve_lp(capacity, lens, counts)
-    bins: dict[tuple[tuple[int, int], ...], float] = {}
-    for config, x in chosen:
-        what = tuple((int(lens[i]), int(config[i])) for i in np.flatnonzero(config))
-        bins[what] = bins.get(what, 0.0) + x
-    index = {int(n): i for i, n in enumerate(lens)}
-    left, made = counts.copy(), []
-    for what, x in bins.items():
-        whole = min([int(x + 1e-9), *(int(left[index[n]]) // k for n, k in what)])
-        if whole:
-            made.append((what, whole))
+def level_prices(capacity: int, lens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of the prices that no configuration exceeds one bin with, by threshold t, those of the highest bound: nothing below t, a
+    whole bin above capacity - t, and the share of the bin, or a whole one for more than half where the small do not fill it, between."""
+    best, prices = 0.0, lens / capacity
+    for t in [0, *lens[2 * lens <= capacity].tolist()]:
+        for middle in (lens / capacity, np.where(2 * lens > capacity, 1.0, np.where(2 * lens == capacity, 0.5, 0.0))):
+            price = np.where(lens > capacity - t, 1.0, np.where(lens < t, 0.0, middle))
+            if counts @ price > best + 1e-9:
+                best, prices = float(counts @ price), price
+    return prices
+
+
+class Lp:
+    """The configuration LP of one histogram: ``columns`` (configuration, fractional bins) with its bounds."""
+
+    def __init__(self, capacity: int, lens: np.ndarray, counts: np.ndarray):
+        self.first = [(what, float(x)) for what, x in best_fit(capacity, lens, counts)]
+        self.columns, self.upper = self.first, sum(x for _, x in self.first)
+        level = level_prices(capacity, lens, counts)
+        self.lower, self.rounds = float(counts @ level), 0
+        grid = -(-capacity // GRID)
+        space = capacity // grid
+        steps = np.minimum(-(-lens // grid), space)
+        covered, bins, total = np.zeros(len(lens)), {}, 0.0
+        stale = 0
+        fewest = sum(x for _, x in self.first)
+        while self.upper - self.lower > GAP * self.lower and np.ceil(self.lower - 1e-6) < fewest and stale <= PATIENCE * max(50, len(lens)):
+            price = np.maximum(level, 1e-3 * lens / capacity) * np.exp(-LEARN * (covered - covered.min()))
+            config = best_configuration(space, steps, price, np.minimum(counts, space // steps))
+            used = np.flatnonzero(config)
+            gap = self.upper - self.lower
+            if grid == 1:  # else the DP's best may be less than the best of all
+                self.lower = max(self.lower, float(counts @ price) / float(config @ price))
+            x = STEP * float((counts[used] / config[used]).min())
+            covered[used] += config[used] * x / counts[used]
+            what = tuple((int(lens[i]), int(config[i])) for i in used)
+            bins[what] = bins.get(what, 0.0) + x
+            total += x
+            if covered.min() > 0 and total / covered.min() < self.upper:
+                self.upper = total / covered.min()
+                self.columns = [(w, b / covered.min()) for w, b in bins.items()]
+            self.rounds += 1
+            stale = 0 if self.upper - self.lower < gap - 1e-3 * GAP * self.lower else stale + 1
+
+
+def rounded(capacity: int, lens: np.ndarray, counts: np.ndarray, lp: Lp) -> tuple[list[tuple[tuple[tuple[int, int], ...], int]], int]:
+    """Whole bins [(configuration, bins)] for all items, and how many items the LP's columns place."""
+    if lp.columns is lp.first:
+        return [(what, int(x)) for what, x in lp.first], int(counts.sum())
+    left, made, placed = {int(n): int(k) for n, k in zip(lens, counts, strict=True)}, [], 0
+
+    def take(what: tuple[tuple[int, int], ...], most: int) -> None:
+        nonlocal placed
+        x = min([most, *(left[n] // k for n, k in what)])
+        if x:
+            made.append((what, x))
             for n, k in what:
-                left[index[n]] -= k * whole
-    made += best_fit(capacity, lens, left)
-    rank, first, rows = dict.fromkeys(index, 0), 0, []
+                left[n] -= k * x
+                placed += k * x
+
+    for what, x in lp.columns:
+        take(what, int(x + 1e-9))
+    for what, x in sorted(lp.columns, key=lambda c: (-(c[1] % 1), c[0])):
+        take(what, 1)
+    made += best_fit(capacity, lens, np.array([left[int(n)] for n in lens]))
+    if sum(x for _, x in made) >= sum(x for _, x in lp.first):
+        return [(what, int(x)) for what, x in lp.first], int(counts.sum())
+    return made, placed
+
+
+def pack_histogram(capacity: int, lens: np.ndarray, counts: np.ndarray) -> tuple[pd.DataFrame, Lp, int]:
+    """Runs (len, first_rank, n, first_bin, per_bin) that give every item its bin, the LP and the items that its columns place."""
+    lp = Lp(capacity, lens, counts)
+    made, placed = rounded(capacity, lens, counts, lp)
+    rank, first, rows = {int(n): 0 for n in lens}, 0, []
     for what, x in made:
         for n, k in what:
             rows.append((n, rank[n], k * x, first, k))
             rank[n] += k * x
         first += x
-    return pd.DataFrame(rows, columns=["len", "first_rank", "n", "first_bin", "per_bin"]), bound
+    return pd.DataFrame(rows, columns=["len", "first_rank", "n", "first_bin", "per_bin"]), lp, placed
 
 
 def chunks(docs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -156,15 +199,16 @@ def chunks(docs: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def _solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     h = pdf.groupby("len", as_index=False)["n"].sum()
-    runs, bound = pack_histogram(int(pdf["capacity"].iloc[0]), h["len"].to_numpy(np.int64), h["n"].to_numpy(np.int64))
-    return runs.assign(profile_id=key[0], bound=bound)
+    runs, lp, placed = pack_histogram(int(pdf["capacity"].iloc[0]), h["len"].to_numpy(np.int64), h["n"].to_numpy(np.int64))
+    return runs.assign(profile_id=key[0], bound=lp.lower, lp_bins=lp.upper, rounds=lp.rounds, by_columns=placed)
 
 
 def pack(docs: DataFrame, profiles: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(profile_id, bin_id, doc_id, chunk_no, first_token, n_tokens) and the runs with the LP's lower bound."""
     items = stored(chunks(docs, profiles).withColumn("o", F.xxhash64("doc_id", "chunk_no", F.lit(seed).cast("long"))).withColumn("r", F.pmod("o", F.lit(RANGES)).cast("int")), "chunks")
     counts = stored(items.groupBy("profile_id", "capacity", "len", "r").agg(F.count("*").alias("n")), "histogram")
-    runs = counts.groupBy("profile_id").applyInPandas(_solve, "profile_id int, len long, first_rank long, n long, first_bin long, per_bin long, bound double")
+    # a task per profile: few bytes are much work here, so the partitions are not to be coalesced by size
+    runs = counts.repartition(min(MOST_PROFILES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "profile_id").groupBy("profile_id").applyInPandas(_solve, "profile_id int, len long, first_rank long, n long, first_bin long, per_bin long, bound double, lp_bins double, rounds int, by_columns long")
     runs = stored(runs, "runs")
     before = counts.select("profile_id", "len", "r", (F.sum("n").over(Window.partitionBy("profile_id", "len").orderBy("r")) - F.col("n")).alias("before"))
     # rank within (profile, length): ranges of the hash first, so that a length of a third of all items is many tasks
@@ -189,9 +233,9 @@ def pack(docs: DataFrame, profiles: DataFrame, seed: int = 42) -> tuple[DataFram
 
 
 def pack_report(placed: DataFrame, runs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Per profile: bins, fill and the LP's lower bound of bins."""
+    """Per profile: bins, fill, the LP's bounds of bins, its rounds and the chunks that its columns place."""
     per_bin = placed.groupBy("profile_id", "bin_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
     used = per_bin.groupBy("profile_id").agg(F.count("*").alias("n_bins"), F.sum("n").alias("n_chunks"), F.sum("t").alias("n_tokens"), F.max("t").alias("fullest"))
-    bound = runs.groupBy("profile_id").agg(F.ceil(F.max("bound") - 1e-6).alias("least_bins"))
+    bound = runs.groupBy("profile_id").agg(F.ceil(F.max("bound") - 1e-6).alias("least_bins"), F.max("lp_bins").alias("lp_bins"), F.max("rounds").alias("lp_rounds"), F.max("by_columns").alias("chunks_by_columns"))
     out = profiles.select("profile_id", "profile_name", "capacity_tokens").join(used, "profile_id").join(bound, "profile_id")
-    return out.select("profile_id", "profile_name", "capacity_tokens", "n_chunks", "n_tokens", "n_bins", "least_bins", "fullest", (F.col("n_tokens") / (F.col("n_bins") * F.col("capacity_tokens"))).alias("fill"))
+    return out.select("profile_id", "profile_name", "capacity_tokens", "n_chunks", "n_tokens", "n_bins", "least_bins", "lp_bins", "lp_rounds", "chunks_by_columns", "fullest", (F.col("n_tokens") / (F.col("n_bins") * F.col("capacity_tokens"))).alias("fill"))
