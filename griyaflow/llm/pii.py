@@ -29,9 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
 from griyaflow.runtime import stored
 
@@ -205,8 +207,9 @@ def _shape(word: str, case: str, gap: str, follows: bool) -> str:
     return "m" if gap in "sk" else "b" if follows else "o"
 
 
-def name_words(text: str, taken: bytearray) -> list[Candidate]:
-    """Candidates for words of names, in order, with initials and what is around them."""
+def name_words(text: str, taken: bytearray, ordinary: frozenset[str]) -> list[Candidate]:
+    """Candidates for words of names, in order, with initials and what is around them. An ordinary word is one only where it is
+    capitalised within a sentence."""
     spans: list[tuple[int, int, str]] = []
     at = 0
     for line in text.split("\n"):
@@ -214,8 +217,12 @@ def name_words(text: str, taken: bytearray) -> list[Candidate]:
         end = at + len(line)
         for m in (CAPITAL if case == "m" else ANY_WORD).finditer(text, at, end):
             s, e = m.span()
-            if not (taken[s] or taken[e - 1]) and not (s and text[s - 1] in "@_&/#") and m.group().lower() not in ("binti", "bin"):
-                spans.append((s, e, case))
+            if taken[s] or taken[e - 1] or (s and text[s - 1] in "@_&/#"):
+                continue
+            low = m.group().lower()
+            if low in ("binti", "bin") or low in ordinary and (text[s].islower() or s < 2 or text[s - 1] not in " \u00a0" or text[s - 2] in ".!?:>|"):
+                continue
+            spans.append((s, e, case))
         at = end + 1
     out: list[Candidate] = []
     last_end, chain = -1, "-"
@@ -252,7 +259,7 @@ def name_words(text: str, taken: bytearray) -> list[Candidate]:
     return out
 
 
-def candidates(text: str) -> list[Candidate]:
+def candidates(text: str, ordinary: frozenset[str] = frozenset()) -> list[Candidate]:
     """All candidates of the whole text, those of names last and in order."""
     out: list[Candidate] = []
     words = _Words(text)
@@ -271,7 +278,7 @@ def candidates(text: str) -> list[Candidate]:
                 out.append((k, s, e, surface, votes, "", "", "", False, s, e))
                 if pattern is PATTERNS[kind]:
                     taken[s:e] = b"\x01" * (e - s)
-    return out + name_words(text, taken)
+    return out + name_words(text, taken, ordinary)
 
 
 def corpus_vote(seen: tuple[int, int, int, int, int] | None) -> str:
@@ -375,39 +382,54 @@ def fit(rows: list[list[int]], label: np.ndarray, weight: np.ndarray | None = No
     return w
 
 
-_CANDIDATE = "kind tinyint, s int, e int, w string, votes string, before string, after string, shape string, link boolean, s2 int, e2 int"
 
 
-def _cut(id_type: str):
-    """One row per document with its candidates; and, with no document, how often words stand in small letters among mixed ones."""
+_FIELDS = pa.struct([("kind", pa.int8()), ("s", pa.int32()), ("e", pa.int32()), *[(c, pa.string()) for c in ("w", "votes", "before", "after", "shape")], ("link", pa.bool_()), ("s2", pa.int32()), ("e2", pa.int32())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        small: Counter = Counter()
-        for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                if text:
-                    found = candidates(text)
-                    if found:
-                        rows.append((doc, [dict(zip(_FIELDS, c, strict=True)) for c in found], None, None))
-                    for line in text.split("\n"):
-                        if _case(line) != "l":
-                            small.update(SMALL.findall(line))
-            if len(small) > REMEMBERED:
-                rows += [(None, None, w, n) for w, n in small.items()]
-                small.clear()
-            yield _frame(rows)
-        yield _frame([(None, None, w, n) for w, n in small.items()])
 
-    return run
+def _small_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) how often words stand in small letters among others, in parts."""
+    small: Counter = Counter()
+
+    def part() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(list(small), pa.string()), pa.array(list(small.values()), pa.int64())], names=["word", "n"])
+        small.clear()
+        return out
+
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            for line in (text or "").split("\n"):
+                if _case(line) != "l":
+                    small.update(SMALL.findall(line))
+        if len(small) > REMEMBERED:
+            yield part()
+    yield part()
 
 
-_FIELDS = [f.split(" ")[0] for f in _CANDIDATE.split(", ")]
+def _cut(ordinary: frozenset[str], id_type: pa.DataType):
+    """One row per document with its candidates, made column by column."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                docs, texts = b.column(0).slice(at, 1000), b.column(1).slice(at, 1000).to_pylist()
+                found = [candidates(t, ordinary) if t else [] for t in texts]
+                columns = list(zip(*[c for f in found for c in f], strict=True)) or [()] * len(_FIELDS)
+                flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], fields=list(_FIELDS))
+                ends = np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([docs.cast(id_type), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "found"])
+
+    return run
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "found", "word", "n_small"])
-    return out.astype({"n_small": "Int64"})
+
+def found_in(column: pa.ListArray) -> Iterator[list[Candidate]]:
+    """The candidates of every document of a batch that :func:`_cut` made."""
+    flat = column.flatten()
+    rows = list(zip(*[f.to_pylist() for f in flat.flatten()], strict=True))
+    at = 0
+    for n in column.value_lengths().to_pylist():
+        yield rows[at : at + (n or 0)]
+        at += n or 0
 
 
 def train(examples: list[tuple], posterior: dict[tuple[int, str], float], n_of: dict, share: dict) -> np.ndarray:
@@ -451,21 +473,25 @@ class Model:
     """Lexicon, reliabilities of the labelers and weights of the span classifier, from all documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame):
-        id_type = docs.schema["doc_id"].dataType.simpleString()
-        self.cut = stored(docs.select("doc_id", "text").mapInPandas(_cut(id_type), f"doc_id {id_type}, found array<struct<{_CANDIDATE.replace(' ', ': ').replace(',:', ',')}>>, word string, n_small long"), "candidates")
-        each = self.cut.filter("found is not null").select("doc_id", F.explode("found").alias("c"))
+        spark, id_type = docs.sparkSession, docs.schema["doc_id"].dataType
+        small = stored(docs.select("text").mapInArrow(_small_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("low")), "small")
+        # words of at least one in LEXICON of all: no more than LEXICON of them
+        n_small = small.agg(F.sum("low")).first()[0] or 0
+        self.ordinary = frozenset(r["word"] for r in small.filter(F.col("low") >= max(5, -(-n_small // LEXICON))).select("word").collect())
+        out = T.StructType([T.StructField("doc_id", id_type), T.StructField("found", from_arrow_type(pa.list_(_FIELDS)))])
+        self.cut = stored(docs.select("doc_id", "text").mapInArrow(_cut(self.ordinary, to_arrow_type(id_type)), out), "candidates")
+        each = self.cut.select("doc_id", F.explode("found").alias("c"))
         words = each.filter(F.col("c.kind") == NAME).groupBy(F.col("c.w").alias("word")).agg(
             F.lit(0).cast("long").alias("low"), F.count("*").alias("n"), F.count_if(F.col("c.shape").isin("m", "t")).alias("mid"),
             F.count_if(F.substring("c.votes", 3, 1) == "y").alias("yes"), F.count_if(F.substring("c.votes", 3, 1) == "n").alias("no"),
         )
         zero = F.lit(0).cast("long")
-        small = self.cut.filter("word is not null").groupBy("word").agg(F.sum("n_small").alias("low"), *[zero.alias(c) for c in ("n", "mid", "yes", "no")])
-        counted = stored(words.unionByName(small).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("low", "n", "mid", "yes", "no")]), "words")
+        both = words.unionByName(small.select("word", "low", *[zero.alias(c) for c in ("n", "mid", "yes", "no")]))
+        counted = stored(both.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("low", "n", "mid", "yes", "no")]), "words")
         total = counted.agg(F.sum(F.col("low") + F.col("n"))).first()[0] or 0
-        # words of at least one in LEXICON of all: no more than LEXICON of them
         often = counted.filter((F.col("low") + F.col("n") >= max(5, -(-total // LEXICON))) & (F.col("n") > 0))
         self.lexicon = {r["word"]: (r["low"], r["n"], r["mid"], r["yes"], r["no"]) for r in often.collect()}
-        corpus = F.broadcast(docs.sparkSession.createDataFrame([(w, corpus_vote(x)) for w, x in self.lexicon.items()], "w string, corpus string"))
+        corpus = F.broadcast(spark.createDataFrame([(w, corpus_vote(x)) for w, x in self.lexicon.items()], "w string, corpus string"))
         seen = each.select("doc_id", "c.*").join(corpus, "w", "left").withColumn("votes", F.when(F.col("kind") == NAME, F.concat("votes", F.coalesce("corpus", F.lit("-")))).otherwise(F.col("votes")))
         counts = seen.groupBy("kind", "votes").count().collect()
         self.posterior: dict[tuple[int, str], float] = {}
@@ -496,7 +522,7 @@ class Model:
         return train([tuple(r) for r in examples], self.posterior, n_of, share)
 
     def decider(self) -> Decider:
-        return Decider(self.weights, self.lexicon)
+        return Decider(self.weights, self.lexicon, self.ordinary)
 
 
 def _quantile(share: float) -> int:
@@ -507,8 +533,8 @@ def _quantile(share: float) -> int:
 class Decider:
     """The classifier's decisions; scores of words and votes are remembered, REMEMBERED of each kind at a time."""
 
-    def __init__(self, weights: np.ndarray, lexicon: dict[str, tuple]):
-        self.weights, self.lexicon = weights, lexicon
+    def __init__(self, weights: np.ndarray, lexicon: dict[str, tuple], ordinary: frozenset[str] = frozenset()):
+        self.weights, self.lexicon, self.ordinary = weights, lexicon, ordinary
         self.known: list[dict] = [{}, {}, {}, {}]
 
     def _score(self, part: int, key: tuple, make) -> float:
@@ -532,6 +558,9 @@ class Decider:
             own += self._score(2, (c[5], c[6]), around_features)
         return score + own > 0
 
+    def read(self, text: str) -> list[tuple[str, int, int]]:
+        return self.mentions(candidates(text, self.ordinary))
+
     def mentions(self, found: list[Candidate]) -> list[tuple[str, int, int]]:
         """(type, start, end) of one text, in order, without overlaps."""
         accepted: list[list[tuple[int, int]]] = [[] for _ in TYPES]
@@ -565,24 +594,21 @@ class Decider:
 
 def find_mentions(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(doc_id, pii_type, start_pos, end_pos) in all documents (doc_id, text). Without a model one is fitted, and its candidates are decided on."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {id_type}, pii_type string, start_pos int, end_pos int"
-    frame = lambda rows: pd.DataFrame(rows, columns=["doc_id", "pii_type", "start_pos", "end_pos"])
+    id_type = docs.schema["doc_id"].dataType
     own = model is None
     model = model or Model(docs)
-    decide = model.decider()
-
-    def of_cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield frame([(doc, *x) for doc, found in zip(pdf["doc_id"], pdf["found"], strict=True) for x in decide.mentions([tuple(c.values()) for c in found])])
+    decide, arrow_id = model.decider(), to_arrow_type(id_type)
 
-    def of_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield frame([(doc, *x) for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) if text for x in decide.mentions(candidates(text))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                docs, what = b.column(0).slice(at, 1000).to_pylist(), b.column(1).slice(at, 1000)
+                each = map(decide.mentions, found_in(what)) if own else (decide.read(t) if t else [] for t in what.to_pylist())
+                rows = [(doc, *x) for doc, mentions in zip(docs, each, strict=True) for x in mentions]
+                columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (arrow_id, pa.string(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "pii_type", "start_pos", "end_pos"])
 
-    if own:
-        return model.cut.filter("found is not null").select("doc_id", "found").mapInPandas(of_cut, out)
-    return docs.select("doc_id", "text").mapInPandas(of_text, out)
+    return (model.cut if own else docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {id_type.simpleString()}, pii_type string, start_pos int, end_pos int")
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -591,7 +617,7 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def one(text: str) -> str:
         out, at = [], 0
-        for k, s, e in decide.mentions(candidates(text)):
+        for k, s, e in decide.read(text):
             out += [text[at:s], f"[{k.upper()}]"]
             at = e
         return "".join([*out, text[at:]])
