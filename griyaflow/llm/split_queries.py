@@ -9,9 +9,15 @@ from griyaflow.llm.linked_splits import assign_splits, parted_rows, parted_sets
 from griyaflow.runtime import table
 
 
+#: The plan is a parameter table; a longer one is refused rather than cut.
+MOST_SPLITS = 1000
+
+
 def _shares(spark: SparkSession, d: str) -> list[tuple[str, float]]:
     """The split plan is a parameter table of a few lines."""
-    rows = table(spark, d, "split_plan").orderBy(F.desc("target_share"), "split_name").limit(100).collect()
+    rows = table(spark, d, "split_plan").orderBy(F.desc("target_share"), "split_name").limit(MOST_SPLITS + 1).collect()
+    if len(rows) > MOST_SPLITS:
+        raise ValueError(f"split_plan has more than {MOST_SPLITS} lines")
     return [(r["split_name"], float(r["target_share"])) for r in rows]
 
 
