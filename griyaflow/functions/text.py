@@ -41,11 +41,7 @@ def spreadsheet_code(col: Column) -> Column:
 
 def label_of_code(col: Column, labels: dict[str, str]) -> Column:
     """Label of a code; missing and unknown codes are ``unclassified``."""
-    code = digits_code(col)
-    out = F.lit("unclassified")
-    for k, v in labels.items():
-        out = F.when(code == k, v).otherwise(out)
-    return out
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]), digits_code(col)), F.lit("unclassified"))
 
 
 def links_of_cell(col: Column) -> Column:
@@ -79,11 +75,10 @@ def label_key(col: Column) -> Column:
     return F.regexp_replace(F.replace(F.lower(strip(col)), F.lit("_"), F.lit(" ")), r"\s+", " ")
 
 
-def canonical_label(col: Column, labels: tuple[str, ...]) -> Column:
-    """The label of the list with the same key; blank stays blank, unknown text stays as stripped."""
-    raw, out = strip(col), strip(col)
-    for label in labels:
-        out = F.when(label_key(col) == label.lower().replace("_", " "), label).otherwise(out)
+def canonical_label(col: Column, labels: dict[str, str]) -> Column:
+    """The label that the map has for the text's key; blank stays blank, unknown text stays as stripped."""
+    raw = strip(col)
+    out = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]), label_key(col)), raw)
     return F.when(raw == "", "").when(F.lower(raw) == "unclassified", "unclassified").otherwise(out)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from griyaflow.functions.keys import non_empty
-from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED, SHOWN
+from griyaflow.functions.labels import COMPONENTS, NOT_DETECTED_MINTED, SHOWN
 from griyaflow.functions.text import strip
 from griyaflow.operators.ranking import global_rank
 from griyaflow.operators.sampling import label_cap
@@ -63,9 +63,9 @@ def image_records(houses: DataFrame, house: str = "house_id") -> DataFrame:
 
 
 def minted(records: DataFrame, order: str, first_house: int, prefix: str = "H") -> DataFrame:
-    """Records with running house ids from ``first_house`` on; labels that the type cannot show are not detected."""
+    """Records with running house ids from ``first_house`` on; labels that are missing or that the type cannot show are not detected."""
     numbered = global_rank(records, [order], "_n")
-    out = {c: F.when(F.col("house_type").isin(*[k for k, shown in SHOWN.items() if c not in shown]), NOT_DETECTED).otherwise(F.col(c)) for c in COMPONENTS}
+    out = {c: F.when(F.col("house_type").isin(*[k for k, shown in SHOWN.items() if c not in shown]), NOT_DETECTED_MINTED).otherwise(F.coalesce(F.col(c), F.lit(NOT_DETECTED_MINTED))) for c in COMPONENTS}
     return numbered.withColumns(out).withColumn("new_id", F.concat(F.lit(prefix), F.format_string("%05d", F.col("_n") + first_house - 1))).drop("_n")
 
 

@@ -5,7 +5,8 @@ per bucket and side an IBLT of three sub-tables holds count, XOR of key hashes,
 XOR of checksums. The sides exchange only these cells: subtracted, equal rows cancel, and peeling
 reveals the keys that differ. Their rows are then fetched from both sides and compared field by field.
 A bucket whose table was too small for its differences is built again with twice the cells, alone,
-until it peels; so the result is exact whatever the share of differences.
+until it peels; beyond MOST_CELLS, where rows repeated on one side cancel themselves, its rows are compared
+directly. So the result is exact whatever the share of differences.
 
 Defined results: rows with a null or blank key are left out; the latest row is the one with the
 greatest order columns, nulls lowest; columns other than the named ones are not looked at; two empty
@@ -25,6 +26,8 @@ from griyaflow.runtime import stored
 
 KEYS_PER_BUCKET = 8192
 START_CELLS = 4096
+#: A bucket's table holds all of its keys' rows of both sides well before this; one that has not peeled then never will.
+MOST_CELLS = 16 * KEYS_PER_BUCKET
 SUB_TABLES = 3
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -56,7 +59,8 @@ def latest_rows(df: DataFrame, key: Column, order: list[Column], fields: dict[st
 
 
 def _hashed(side: DataFrame, names: list[str]) -> DataFrame:
-    return side.withColumns({"kh": F.xxhash64("k"), "rh": F.xxhash64(*names)})
+    # a hash skips nulls: a flag per field tells them from values and fields from one another
+    return side.withColumns({"kh": F.xxhash64("k"), "rh": F.xxhash64(*[x for n in names for x in (F.col(n).isNull(), F.col(n))])})
 
 
 def _cells(side: DataFrame, n_buckets: int, cells: int, sign: int) -> DataFrame:
@@ -120,6 +124,10 @@ def differing_keys(left: DataFrame, right: DataFrame, n_keys: int, start_cells:
         failed = peeled.filter("not done").select("bucket")
         if not failed.take(1):
             return reduce(DataFrame.unionByName, parts).distinct()
+        if cells >= MOST_CELLS:  # rows repeated on one side cancel in every cell and never peel: these buckets are compared row by row
+            sides = [t.withColumn("bucket", F.pmod("kh", F.lit(n_buckets))).join(failed, "bucket", "left_semi").select("kh", "rh", F.lit(s).alias("s")) for t, s in ((todo_l, 1), (todo_r, -1))]
+            parts.append(sides[0].unionByName(sides[1]).groupBy("kh", "rh").agg(F.sum("s").alias("s")).filter("s <> 0").select("kh"))
+            return reduce(DataFrame.unionByName, parts).distinct()
         todo_l, todo_r = (t.withColumn("bucket", F.pmod("kh", F.lit(n_buckets))).join(failed, "bucket", "left_semi").drop("bucket") for t in (left, right))
         cells *= 2
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from griyaflow.functions import text as X
-from griyaflow.functions.labels import COMPONENTS, LABELS, code_table
+from griyaflow.functions.labels import COMPONENTS, code_table, label_map
 from griyaflow.functions.urls import BLOCKED_HOSTS, BLOCKED_PARTS, IMAGE_ENDS, OTHER_ENDS, is_image_url
 from griyaflow.operators.profile import change_audit
 from griyaflow.runtime import table
@@ -67,13 +67,13 @@ def parsed_props(spark: SparkSession, d: str) -> DataFrame:
 def canonical_labels(spark: SparkSession, d: str) -> DataFrame:
     """Annotators' labels in the spelling of the lists."""
     rows = table(spark, d, "annotations")
-    return rows.select("annotation_id", *[X.canonical_label(C("fields")[f"jenis_{c}_terluas"], LABELS[c] + ("Tidak terdeteksi",)).alias(c) for c in COMPONENTS])
+    return rows.select("annotation_id", *[X.canonical_label(C("fields")[f"jenis_{c}_terluas"], label_map(c)).alias(c) for c in COMPONENTS])
 
 
 def label_changes(spark: SparkSession, d: str) -> DataFrame:
     """How often the canonical spelling changes a label."""
     rows = table(spark, d, "annotations")
-    cols = {f"old_{c}": C("fields")[f"jenis_{c}_terluas"] for c in COMPONENTS} | {f"new_{c}": X.canonical_label(C("fields")[f"jenis_{c}_terluas"], LABELS[c] + ("Tidak terdeteksi",)) for c in COMPONENTS}
+    cols = {f"old_{c}": C("fields")[f"jenis_{c}_terluas"] for c in COMPONENTS} | {f"new_{c}": X.canonical_label(C("fields")[f"jenis_{c}_terluas"], label_map(c)) for c in COMPONENTS}
     return change_audit(rows.select(*[v.alias(k) for k, v in cols.items()]), {c: (f"old_{c}", f"new_{c}") for c in COMPONENTS})
 
 
@@ -108,16 +108,28 @@ def _digits(c: str) -> str:
     return f"CASE WHEN regexp_replace({c}, '\\D', '', 'g') <> '' THEN coalesce(nullif(ltrim(regexp_replace({c}, '\\D', '', 'g'), '0'), ''), '0') END"
 
 
+# Fixed values, written out for the SQL alone.
+_CODE_SQL = {
+    "lantai": "WHEN '1' THEN 'marmer/granit' WHEN '2' THEN 'keramik' WHEN '3' THEN 'parket/vinil/karpet' WHEN '4' THEN 'ubin/tegel/teraso' WHEN '5' THEN 'kayu/papan' WHEN '6' THEN 'semen/bata_merah' WHEN '7' THEN 'bambu' WHEN '8' THEN 'tanah' WHEN '9' THEN 'lainnya'",
+    "dinding": "WHEN '1' THEN 'tembok' WHEN '2' THEN 'plesteran_anyaman_bambu/kawat' WHEN '3' THEN 'kayu/papan/gypsum/GRC/calciboard' WHEN '4' THEN 'anyaman_bambu' WHEN '5' THEN 'batang_kayu' WHEN '6' THEN 'bambu' WHEN '7' THEN 'lainnya'",
+    "atap": "WHEN '1' THEN 'beton' WHEN '2' THEN 'genteng' WHEN '3' THEN 'seng' WHEN '4' THEN 'asbes' WHEN '5' THEN 'bambu' WHEN '6' THEN 'kayu/sirap' WHEN '7' THEN 'jerami/ijuk/daun-daunan/rumbia' WHEN '8' THEN 'lainnya'",
+}
+_NONE_SQL = "WHEN 'lainnya' THEN 'Lainnya' WHEN 'tidak terdeteksi' THEN 'Tidak terdeteksi' WHEN 'bambu' THEN 'Bambu'"
+_CANON_SQL = {
+    "atap": _NONE_SQL + " WHEN 'beton' THEN 'Beton' WHEN 'genteng' THEN 'Genteng' WHEN 'seng' THEN 'Seng' WHEN 'asbes' THEN 'Asbes' WHEN 'kayu/sirap' THEN 'Kayu/sirap' WHEN 'kayu sirap' THEN 'Kayu/sirap' WHEN 'jerami/ijuk/daun-daunan/rumbia' THEN 'Jerami/ijuk/daun-daunan/rumbia' WHEN 'jerami/ijuk/daun daunan/rumbia' THEN 'Jerami/ijuk/daun-daunan/rumbia'",
+    "dinding": _NONE_SQL + " WHEN 'tembok' THEN 'Tembok' WHEN 'plesteran anyaman bambu/kawat' THEN 'Plesteran anyaman bambu/kawat' WHEN 'kayu/papan/gypsum/grc/calciboard' THEN 'Kayu/papan/gypsum/GRC/calciboard' WHEN 'kayu papan gypsum grc calciboard' THEN 'Kayu/papan/gypsum/GRC/calciboard' WHEN 'anyaman bambu' THEN 'Anyaman bambu' WHEN 'batang kayu' THEN 'Batang kayu'",
+    "lantai": _NONE_SQL + " WHEN 'marmer/granit' THEN 'Marmer/granit' WHEN 'keramik' THEN 'Keramik' WHEN 'parket/vinil/karpet' THEN 'Parket/vinil/karpet' WHEN 'ubin/tegel/teraso' THEN 'Ubin/tegel/teraso' WHEN 'kayu/papan' THEN 'Kayu/papan' WHEN 'semen/bata merah' THEN 'Semen/bata merah' WHEN 'tanah' THEN 'Tanah'",
+}
+
+
 def _label(c: str, comp: str) -> str:
-    whens = " ".join(f"WHEN {_digits(c)} = '{k}' THEN '{v}'" for k, v in code_table(comp).items())
-    return f"CASE {whens} ELSE 'unclassified' END"
+    return f"CASE {_digits(c)} {_CODE_SQL[comp]} ELSE 'unclassified' END"
 
 
 def _canon(c: str, comp: str) -> str:
     s = f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
     key = f"regexp_replace(replace(lower({s}), '_', ' '), '\\s+', ' ', 'g')"
-    whens = " ".join(f"WHEN {key} = '{x.lower()}' THEN '{x}'" for x in LABELS[comp] + ("Tidak terdeteksi",))
-    return f"CASE WHEN {s} = '' THEN '' WHEN lower({s}) = 'unclassified' THEN 'unclassified' {whens} ELSE {s} END"
+    return f"CASE WHEN {s} = '' THEN '' WHEN lower({s}) = 'unclassified' THEN 'unclassified' ELSE CASE {key} {_CANON_SQL[comp]} ELSE {s} END END"
 
 
 _NORMAL = "SELECT survey_id, " + _card("no_kk") + " AS no_kk, " + ", ".join(f"{_cell(c)} AS {c}" for c in ("id_lantai_terluas", "id_dinding_terluas", "id_atap_terluas", "foto_rumah", "foto_rumah_tampak_dalam")) + " FROM survey_rows"

@@ -92,6 +92,6 @@ SQL = {
     "type_readings": "SELECT rec_id, " + ", ".join(_reading(r) for r in READERS) + " FROM sample_15",
     "record_filters": HOUSES + f"SELECT rec_id, split IS NOT NULL AS has_split, {_allowed()} AS allowed, CASE WHEN house_type = 'multi' THEN true ELSE n_images > 0 END AS pictures, lower(coalesce(dinding, '')) = 'anyaman bambu' AS woven FROM h",
     "image_records": HOUSES + ", e AS (SELECT house_id, rec_id, u.p - 1 AS pos, images[u.p] AS i FROM h, unnest(range(1, len(images) + 1)) AS u(p)), f AS (SELECT nullif(trim(i.image_path), '') AS image_path, house_id, rec_id, pos, nullif(trim(i.image_hash), '') AS hash, coalesce(nullif(lower(trim(i.view_type)), ''), 'unknown') AS view_type, row_number() OVER (PARTITION BY nullif(trim(i.image_path), '') ORDER BY rec_id, pos) AS rn FROM e) SELECT image_path, house_id, rec_id, pos::INT AS pos, view_type FROM f WHERE rn = 1 AND image_path IS NOT NULL AND hash IS NOT NULL",
-    "minted_records": HOUSES + "SELECT rec_id, house_type, " + ", ".join(f"CASE WHEN house_type IN ({', '.join(repr(k) for k, shown in SHOWN.items() if c not in shown)}) THEN 'Tidak terdeteksi' ELSE {c} END AS {c}" for c in COMPONENTS) + ", 'H' || printf('%05d', 49999 + row_number() OVER (ORDER BY rec_id)) AS new_id FROM h WHERE split = 'test' AND house_type IS NOT NULL",
+    "minted_records": HOUSES + "SELECT rec_id, house_type, " + ", ".join(f"CASE WHEN house_type IN ({', '.join(repr(k) for k, shown in SHOWN.items() if c not in shown)}) THEN 'Tidak Terdeteksi' ELSE coalesce({c}, 'Tidak Terdeteksi') END AS {c}" for c in COMPONENTS) + ", 'H' || printf('%05d', 49999 + row_number() OVER (ORDER BY rec_id)) AS new_id FROM h WHERE split = 'test' AND house_type IS NOT NULL",
     "content_keys": "SELECT n, count(*) AS keys FROM (SELECT count(*) AS n FROM (SELECT officer_id, list_sort(map_entries(fields)) AS f FROM annotations) GROUP BY officer_id, f) GROUP BY 1",
 }

@@ -15,9 +15,17 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Files that hold one JSON array or one object; an empty file gives no row. Items that are no objects are dropped."""
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    return rows
+    """Files that hold one JSON array or one object; a blank file gives no row. Items of an array that are no objects are
+    left out by their first character; a file that is no whole JSON, or an object that does not fit the schema, fails the read.
+    A file is one row while it is cut into items: at most 2 GB each."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    text = F.regexp_replace("value", r"^[\s\ufeff]+|\s+$", "")
+    files = spark.read.text(path, wholetext=True).select(text.alias("value"), F.col("_metadata.file_path").alias("file")).filter("value <> ''")
+    broken = F.raise_error(F.concat(F.lit("no JSON array or object: "), F.col("file"))).cast("array<string>")
+    whole = F.col("value").startswith("[") & F.col("value").endswith("]") & F.try_parse_json("value").isNotNull()
+    items = F.when(F.col("value").startswith("{"), F.array("value")).when(whole, F.from_json("value", T.ArrayType(T.StringType()))).otherwise(broken)
+    objects = files.select(F.explode(F.filter(F.coalesce(items, broken), lambda x: x.startswith("{"))).alias("item"))
+    return objects.select(F.from_json("item", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def read_enveloped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -59,3 +59,15 @@ def test_peel_tells_when_it_is_stuck():
     at = np.concatenate([np.mod(iblt.xxhash64_longs(k, k, np.full(100, j)), 10) + 10 * j for j in range(3)])
     chk = iblt.xxhash64_longs(k, k)
     assert not iblt.peel(at, np.ones(300, int), np.tile(k, 3), np.tile(k, 3), np.tile(chk, 3), cells)[3]
+
+
+def test_nulls_are_no_other_fields_values(spark):
+    left = spark.createDataFrame([("a", "x", None), ("b", None, None), ("c", "", "y")], "k string, f string, g string")
+    right = spark.createDataFrame([("a", None, "x"), ("b", None, None), ("c", "y", "")], "k string, f string, g string")
+    assert sorted(r["k"] for r in iblt.field_differences(left, right, ["f", "g"]).collect()) == ["a", "c"]
+
+
+def test_rows_repeated_on_one_side_end(spark):
+    left = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "k string, f string")
+    right = spark.createDataFrame([("b", "y")], "k string, f string")
+    assert {r["k"] for r in iblt.field_differences(left, right, ["f"], 12).collect()} == {"a"}

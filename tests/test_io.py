@@ -1,3 +1,5 @@
+import pytest
+
 import json
 
 from griyaflow.sources import records, sinks
@@ -73,3 +75,15 @@ def test_stored_tables_are_released(spark):
     again = runtime.stored(spark.range(3), "probe")
     runtime.release(spark)
     assert not os.path.isdir(again._griyaflow_path.removeprefix("file://"))
+
+
+def test_json_arrays_lose_nothing_silently(spark, tmp_path):
+    def read(text):
+        path = tmp_path / f"{abs(hash(text))}.json"
+        path.write_text(text)
+        return sorted((r["a"] for r in records.read_json_array(spark, str(path), "a int").collect()), key=str)
+
+    assert read('[{"a": 1}, 5, "x", null, {"a": 3}, {"b": 1}]') == [1, 3, None] and read(" ") == [] and read("[]") == [] and read('\n{"a": 7}\n') == [7]
+    for bad in ('[{"a": 1}, {"a": "oops"}, {"a": 3}]', '[{"a": 1}, {"a": 2}', "no json", "[{'a' 1}]"):
+        with pytest.raises(Exception):  # noqa: B017
+            read(bad)
