@@ -33,7 +33,7 @@ RANGES = 64
 MOST_PROFILES = 1000
 #: Relative gap between the bounds of the LP at which it rests; rounds per length (of 50 at least) without a narrower gap after which it does.
 GAP = 1e-4
-PATIENCE = 4
+PATIENCE = 2
 #: Share of its scarcest length's count that a configuration covers in a round, and how fast prices fall with coverage.
 STEP = 0.5
 LEARN = 0.5

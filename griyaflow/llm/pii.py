@@ -45,6 +45,8 @@ WEIGHTS = 1 << 18
 LEXICON = 200_000
 #: Score of a name's letters: no less than minus this where form and context both say yes, no more than this where context says no.
 DOUBT = 1.0
+#: What letters have to say, in log-odds, where all labelers abstain.
+SILENT = 0.5
 #: Words, and part scores, that a task remembers at a time.
 REMEMBERED = 200_000
 
@@ -550,6 +552,8 @@ class Decider:
         score = self._score(0, (c[0], votes, c[7]), vote_features)
         own = self._score(1, (c[0], c[3]), own_features)
         if c[0] == NAME:
+            if own < SILENT and not votes.strip("-"):
+                return False
             own = self._score(3, (min(4.0, max(-5.5, (2 * own) // 1 / 2)), c[7]), letter_features)
             if votes[0] == "y" and votes[2] == "y" and votes[3] != "n":
                 own = max(own, -DOUBT)  # form and context can carry letters that the sample knows nothing of

@@ -5,9 +5,10 @@ import pytest
 
 from griyaflow.llm import pii
 from griyaflow.runtime import table
-from tests.compare import FOLDER
+
 from tests.houses import clashing
 
+CORPUS = "/root/testdata/sf0.01"
 NAMES = [f"{a}{b} {c}{d}" for a in ("Tri", "Har", "Nur", "Pur", "Wi") for b in ("kajono", "wakirna", "sipandri", "diyem") for c in ("Seta", "Wira") for d in ("negara", "yudha")]
 NAMES += ["Harwakirna", "Nursipandri binti Samlinto", "Purdiyem K.", "T. Wirayudha"]
 LINES = [
@@ -90,10 +91,10 @@ OTHER_VALUES = {
 }
 
 
-@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+@pytest.mark.skipif(not os.path.isdir(CORPUS), reason="no test tables")
 def test_unseen_names_lines_and_noise(spark):
     """Names, lines, values and noise that the documents of the model hold nowhere."""
-    model = pii.Model(table(spark, FOLDER, "documents"))
+    model = pii.Model(table(spark, CORPUS, "documents"))
     held = corpus(4, 300, OTHER_LINES, OTHER_VALUES)
     decide = model.decider()
     want = {(i, *w) for i, _, ws in held for w in ws}
