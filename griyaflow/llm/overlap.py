@@ -1,13 +1,17 @@
-"""Same or nearly the same pictures across splits, by a sparse suffix array over their hashes.
+"""Same or nearly the same pictures across splits, by a suffix array over their hashes.
 
 A hash is read as a text of 256 bits. Two texts that differ in at most ``max_bits`` places share, at the
-same offset, one of ``max_bits + 1`` blocks whole (pigeonhole), so suffixes are only needed at the
-block starts. Where so many hashes exist that runs of equal blocks would be long by chance, two of
-``max_bits + 2`` blocks have to agree: more suffixes, but short runs, and just as exact. All suffixes of all distinct hashes are spread by (start, block) and sorted; a run of
-adjacent suffixes whose common prefix covers the block is an interval of the suffix array, and pairs
-of different splits within it are candidates. A suffix entry carries 64 bits of its hash: the
-candidates that differ in too many of these are gone before anything is joined. The rest fetch their
-whole hashes and are compared exactly; the spans of equal bits are summed up as coverage.
+same offset, one of ``max_bits + 1`` blocks whole (pigeonhole), so the suffixes that are needed are those
+that begin with a block. An entry of the array is the text turned so that its suffix comes first: sorting
+entries by block start and turned text is sorting suffixes, and whatever follows is at hand for comparing.
+The texts' suffixes are spread by their start and first block and sorted in every partition; where
+neighbours have a common prefix of a block or more they form an interval, and pairs of different splits
+within it are compared on all their bits. The common prefixes of a pair, over all starts, are the spans
+that it shares; merged, they are its coverage.
+
+Most intervals have few members. One with more than ``HOT`` comparisons, such as of flat pictures, is not
+compared where it was found: its members go on to a grid of blocks of both splits, one task each, so that no
+interval, whatever its size, is work of one task.
 
 Exact copies are one text here, however often they occur, and are expanded into record pairs at the
 end only, salted on both sides, so a picture in a third of all rows does not end in one task.
@@ -19,10 +23,10 @@ pairs of pictures give their record pair once; an empty table gives no pairs.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +39,8 @@ BITS = 256
 #: Pairs of an interval are compared in blocks of so many rows, whatever the interval's size.
 BLOCK = 2048
 SALT = 16
-#: Members of a run of unrelated texts that are still compared rather than told apart by a second block.
-RUN = 64
-#: Low bits of a suffix key that say which blocks it holds.
-SET_BITS = 8
+#: Comparisons in an interval beyond which it is spread over a grid of BLOCK x BLOCK.
+HOT = 1 << 22
 
 
 def hash_text(col: Column) -> Column:
@@ -56,38 +58,29 @@ def hash_words(h: str) -> list[Column]:
     return [F.shiftleft(half(16 * k + 1), 32).bitwiseOR(half(16 * k + 9)).alias(w) for k, w in enumerate(WORDS)]
 
 
-def _block(words: list[Column], start: int, length: int) -> Column:
-    """Bits start .. start + length of the 256, as a number (length < 64)."""
-    word, at = divmod(start, 64)
-    take = min(length, 64 - at)
-    head = F.shiftrightunsigned(F.shiftleft(words[word], at), 64 - take)
-    if take == length:
-        return head
-    return F.shiftleft(head, length - take).bitwiseOR(F.shiftrightunsigned(words[word + 1], 64 - (length - take)))
-
-
 def block_starts(n: int) -> list[tuple[int, int]]:
     """(start, length) of ``n`` blocks that make up the text."""
     cuts = [BITS * k // n for k in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def agreeing_blocks(n_hashes: int, max_bits: int) -> int:
-    """How many blocks must agree so that a run of unrelated texts has some RUN members at most, by chance."""
-    return 1 if n_hashes <= RUN << (BITS // (max_bits + 1)) else 2
+def _turned(start: int) -> list[Column]:
+    """The text with its suffix from bit ``start`` first."""
+    q, r = divmod(start, 64)
+    w = [F.col(WORDS[(i + q) % 4]) for i in range(5)]
+    return [(w[i] if not r else F.shiftleft(w[i], r).bitwiseOR(F.shiftrightunsigned(w[i + 1], 64 - r))).alias(f"r{i}") for i in range(4)]
 
 
-def suffix_keys(words: list[Column], max_bits: int, agree: int) -> Column:
-    """Every set of ``agree`` blocks as a number: its bits and which blocks they are."""
-    blocks = block_starts(max_bits + agree)
-    bits = [_block(words, a, n) for a, n in blocks]
-    keys = []
-    for k, some in enumerate(itertools.combinations(range(len(blocks)), agree)):
-        key = F.lit(0).cast("long")
-        for i in some:
-            key = F.shiftleft(key, blocks[i][1]).bitwiseOR(bits[i])
-        keys.append(F.shiftleft(key, SET_BITS).bitwiseOR(F.lit(k).cast("long")))
-    return F.array(*keys)
+def suffixes(hashes: DataFrame, max_bits: int) -> DataFrame:
+    """(k, block, r0..r3, side): the suffixes of (w0..w3, side) that begin with block k, by partitions and sorted in each."""
+    each = [
+        F.struct(F.lit(k).cast("byte").alias("k"), F.shiftrightunsigned(_turned(a)[0], 64 - n).alias("block"), *_turned(a))
+        for k, (a, n) in enumerate(block_starts(max_bits + 1))
+    ]
+    rows = hashes.select(F.explode(F.array(*each)).alias("s"), F.col("side").cast("byte").alias("side")).select("s.*", "side")
+    # few bytes are much work here, so partitions are asked for by number
+    n = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "k", "block").sortWithinPartitions("k", "block", "r0", "r1", "r2", "r3")
 
 
 def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id") -> DataFrame:
@@ -98,77 +91,156 @@ def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id
     return rows.join(stand_in, list(WORDS), "left_anti")
 
 
-_SUFFIX_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_T, _E = [f"t{i}" for i in range(4)], [f"e{i}" for i in range(4)]
+_FOUND = "t0 long, t1 long, t2 long, t3 long, e0 long, e1 long, e2 long, e3 long, bits int, start int, span int"
+_HOT = ", k byte, block long, r0 long, r1 long, r2 long, r3 long, side byte"
+
+
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(-1)
+
+
+def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Leading equal bits of rows of four 64-bit words."""
+    d = x ^ y
+    first = (d != 0).argmax(1)
+    w = d[np.arange(len(d)), first]
+    for k in (1, 2, 4, 8, 16, 32):
+        w = w | (w >> np.uint64(k))
+    return np.where((d == 0).all(1), BITS, 64 * first + 64 - np.bitwise_count(w).astype(np.int64))
+
+
+def _turned_back(r: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Texts from turned ones, row by row."""
+    q, m = start // 64, (start % 64).astype(np.uint64)
+    own = np.take_along_axis(r, (np.arange(4) - q[:, None]) % 4, 1)
+    left = np.take_along_axis(r, (np.arange(4) - 1 - q[:, None]) % 4, 1)
+    m = m[:, None]
+    return np.where(m == 0, own, (own >> m) | (left << ((np.uint64(64) - m) & np.uint64(63))))
+
 
+def _found(t: np.ndarray, e: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
+    """Columns of pairs of turned texts that are near."""
+    span = np.minimum(common_prefix(t, e), BITS - start)
+    back = [_turned_back(x, start).view(np.int64) for x in (t, e)]
+    return {**{f"{n}{i}": x[:, i] for n, x in zip("te", back, strict=True) for i in range(4)}, "bits": _differing(t, e).astype(np.int32), "start": start.astype(np.int32), "span": span.astype(np.int32)}
 
-def _interval_pairs(max_bits: int):
-    """Scans sorted suffixes (key, part, side): yields pairs of parts of different sides per interval."""
 
-    def pairs_of(part: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
-        tr, ev = part[(side & 1) > 0], part[(side & 2) > 0]
-        for i in range(0, len(tr), BLOCK):
-            for j in range(0, len(ev), BLOCK):
-                x = np.bitwise_count(tr[i : i + BLOCK, None].view(np.uint64) ^ ev[None, j : j + BLOCK].view(np.uint64))
-                a, b = np.nonzero(x <= max_bits)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(tr[i + a]), pa.array(ev[j + b])], schema=_SUFFIX_PAIRS)
+def _intervals(max_bits: int):
+    """Scans sorted suffixes (k, block, r0..r3, side): yields near pairs of both sides, and the members of hot intervals."""
+    starts_of = np.array([a for a, _ in block_starts(max_bits + 1)])
+    schema = pa.schema([(c.split(" ")[0], {"long": pa.int64(), "int": pa.int32(), "byte": pa.int8()}[c.split(" ")[1]]) for c in (_FOUND + _HOT).split(", ")])
 
-    def scan(key: np.ndarray, part: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Whole intervals. Those of two to a few members, nearly all, go as shifted comparisons of the arrays."""
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[starts, len(key)])
-        of, found_a, found_b = np.repeat(np.arange(len(starts)), sizes), [], []
-        small = sizes <= 16
+    def batch(made: dict[str, np.ndarray]) -> pa.RecordBatch:
+        n = len(next(iter(made.values())))
+        return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if f.name in made else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def scan(k: np.ndarray, block: np.ndarray, r: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
+        opens = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (block[1:] != block[:-1])])  # a common prefix shorter than the block
+        sizes = np.diff(np.r_[opens, len(k)])
+        train, held = (np.add.reduceat((side & bit > 0).astype(np.int64), opens) for bit in (1, 2))
+        hot = train * held > HOT
+        of = np.repeat(np.arange(len(opens)), sizes)
+        left, right = [], []
+        small = (sizes <= 16) & ~hot
         for step in range(1, 16):
             i = np.flatnonzero((of[step:] == of[:-step]) & small[of[step:]])
             if not len(i):
                 break
-            for x, y in ((i, i + step), (i + step, i)):
-                ok = (np.bitwise_count((part[x] ^ part[y]).view(np.uint64)) <= max_bits) & ((side[x] & 1) > 0) & ((side[y] & 2) > 0)
-                found_a.append(part[x][ok])
-                found_b.append(part[y][ok])
-        own = part[(side == 3) & ((key & (2**SET_BITS - 1)) == 0)]  # the same text on both sides, told once
-        if len(own):
-            found_a.append(own)
-            found_b.append(own)
-        if found_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], schema=_SUFFIX_PAIRS)
-        for at in np.flatnonzero(~small):
-            s = slice(starts[at], starts[at] + sizes[at])
-            yield from pairs_of(part[s], side[s])
+            near = _differing(r[i], r[i + step]) <= max_bits
+            for x, y in ((i[near], i[near] + step), (i[near] + step, i[near])):
+                ok = (side[x] & 1 > 0) & (side[y] & 2 > 0)
+                left.append(x[ok])
+                right.append(y[ok])
+        own = np.flatnonzero((side == 3) & (k == 0))  # the same text on both sides, told once
+        left.append(own)
+        right.append(own)
+        for at in np.flatnonzero(~small & ~hot & (train > 0) & (held > 0)):
+            s = np.arange(opens[at], opens[at] + sizes[at])
+            t, e = s[side[s] & 1 > 0], s[side[s] & 2 > 0]
+            for i in range(0, len(t), BLOCK):
+                for j in range(0, len(e), BLOCK):
+                    a, b = np.nonzero(_differing(r[t[i : i + BLOCK], None], r[None, e[j : j + BLOCK]]) <= max_bits)
+                    apart = t[i + a] != e[j + b]
+                    left.append(t[i + a][apart])
+                    right.append(e[j + b][apart])
+        x, y = np.concatenate(left), np.concatenate(right)
+        for i in range(0, len(x), 10_000):
+            a, b = x[i : i + 10_000], y[i : i + 10_000]
+            yield batch(_found(r[a], r[b], starts_of[k[a]]))
+        for at in np.flatnonzero(hot):
+            for i in range(opens[at], opens[at] + sizes[at], 10_000):
+                s = slice(i, min(i + 10_000, opens[at] + sizes[at]))
+                yield batch({"k": k[s], "block": block[s], "side": side[s], **{f"r{c}": r[s, c].view(np.int64) for c in range(4)}})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
-            last = np.searchsorted(cols[0], cols[0][-1])  # the open interval waits for the next batch
-            if last == 0 and (not kept or kept[0][0][-1] == cols[0][0]):
-                kept.append(cols)
+            c = [x.to_numpy(zero_copy_only=False) for x in b.columns]
+            cols = (c[0], c[1], np.stack(c[2:6], 1).view(np.uint64), c[6])
+            last = int(np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))[-1:].sum() + 1) if (cols[0][0], cols[1][0]) != (cols[0][-1], cols[1][-1]) else 0
+            if last == 0 and (not kept or (kept[0][0][-1], kept[0][1][-1]) == (cols[0][0], cols[1][0])):
+                kept.append(cols)  # the open interval waits for the next batch
                 continue
-            whole = [*kept, tuple(c[:last] for c in cols)]
+            whole = [*kept, tuple(x[:last] for x in cols)]
             yield from scan(*(np.concatenate(x) for x in zip(*whole, strict=True)))
-            kept = [tuple(c[last:] for c in cols)]
+            kept = [tuple(x[last:] for x in cols)]
         if kept:
             yield from scan(*(np.concatenate(x) for x in zip(*kept, strict=True)))
 
     return run
 
 
-def near_hashes(hashes: DataFrame, max_bits: int = MAX_BITS, agree: int | None = None) -> DataFrame:
-    """(t0..t3, e0..e3, bits) of the hashes of the two sides within ``max_bits``, equal ones included.
+def _placed(hot: DataFrame) -> DataFrame:
+    """(k, block, x, y, bit, r0..r3): the members of hot intervals in the cells of their grids."""
+    parts = lambda bit: F.greatest(F.lit(1), F.ceil(F.count_if(F.col("side").bitwiseAND(bit) > 0) / BLOCK)).cast("int")
+    sizes = hot.groupBy("k", "block").agg(parts(1).alias("n1"), parts(2).alias("n2"))
+    rows = hot.join(sizes, ["k", "block"]).withColumn("h", F.xxhash64("r0", "r1", "r2", "r3"))
+
+    def side(bit: int, own: str, other: str, order: tuple[str, str]) -> DataFrame:
+        at = rows.filter(F.col("side").bitwiseAND(bit) > 0).withColumn("own", F.pmod("h", F.col(own)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return at.select("k", "block", F.col(order[0]).alias("x"), F.col(order[1]).alias("y"), F.lit(bit).alias("bit"), "r0", "r1", "r2", "r3")
+
+    return side(1, "n1", "n2", ("own", "other")).unionByName(side(2, "n2", "n1", ("other", "own")))
+
+
+def _grid(hot: DataFrame, max_bits: int) -> DataFrame:
+    """Near pairs of hot intervals: each is a grid of blocks of its two sides, a task per cell."""
+    starts_of = np.array([a for a, _ in block_starts(max_bits + 1)])
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, bit, k = pdf[["r0", "r1", "r2", "r3"]].to_numpy(np.int64).view(np.uint64), pdf["bit"].to_numpy(), int(pdf["k"].iloc[0])
+        t, e = r[bit == 1], r[bit == 2]
+        out = []
+        for i in range(0, len(t), BLOCK):
+            for j in range(0, len(e), BLOCK):
+                near = sum(np.bitwise_count(t[i : i + BLOCK, None, c] ^ e[None, j : j + BLOCK, c]).astype(np.int16) for c in range(4)) <= max_bits
+                a, b = np.nonzero(near)
+                out.append(pd.DataFrame(_found(t[i + a], e[j + b], np.full(len(a), starts_of[k]))))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c.split(" ")[0]: [] for c in _FOUND.split(", ")})
+
+    n = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _placed(hot).repartition(n, "k", "block", "x", "y").groupBy("k", "block", "x", "y").applyInPandas(compare, _FOUND)
+
+
+def near_hashes(hashes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(t0..t3, e0..e3, bits, covered) of the hashes of the two sides within ``max_bits``, equal ones included; covered counts
+    the bits in the spans that they share.
 
     ``hashes`` is (w0..w3, side) with one row per distinct hash; side bit 1: in train, bit 2: in val or test."""
-    w = [F.col(x) for x in WORDS]
-    keys = suffix_keys(w, max_bits, agree or agreeing_blocks(hashes.count(), max_bits))
-    suffixes = hashes.select(F.explode(keys).alias("key"), F.col("w0").alias("part"), F.col("side").cast("byte").alias("side"))
-    placed = suffixes.repartition("key").sortWithinPartitions("key")
-    candidates = placed.mapInArrow(_interval_pairs(max_bits), "a long, b long").distinct()
-    of = lambda bit, name: hashes.filter(F.col("side").bitwiseAND(bit) > 0).select(*[F.col(x).alias(f"{name}{k}") for k, x in enumerate(WORDS)])
-    both = candidates.join(of(1, "t"), F.col("a") == F.col("t0")).join(of(2, "e"), F.col("b") == F.col("e0"))
-    bits = sum((F.bit_count(F.col(f"t{k}").bitwiseXOR(F.col(f"e{k}"))) for k in range(1, 4)), F.bit_count(F.col("t0").bitwiseXOR(F.col("e0"))))
-    return both.drop("a", "b").withColumn("bits", bits).filter(F.col("bits") <= max_bits)
+    seen = stored(suffixes(hashes, max_bits).mapInArrow(_intervals(max_bits), _FOUND + _HOT), "spans")
+    found, hot = seen.filter("t0 is not null").select(*_T, *_E, "bits", "start", "span"), seen.filter("k is not null").select("k", "block", "r0", "r1", "r2", "r3", "side")
+    if hot.take(1):
+        found = found.unionByName(_grid(hot, max_bits))
+    # a pair has at most max_bits + 1 spans
+    pairs = found.groupBy(*_T, *_E).agg(F.min("bits").alias("bits"), F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("span")).alias("stop")))).alias("spans"))
+    merged = F.aggregate(
+        "spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("at")),
+        lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["stop"] - F.greatest(acc["at"], x["start"]))).alias("n"), F.greatest(acc["at"], x["stop"]).alias("at")),
+    )
+    return pairs.withColumn("covered", merged["n"]).drop("spans")
 
 
 def _words_as(name: str) -> list[Column]:
@@ -193,15 +265,16 @@ def overlapping_pairs(df: DataFrame, placeholders: DataFrame, id_col: str = "rec
 
 
 def overlap_by_split(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> DataFrame:
-    """Per split and source group: records, records that training also holds, exactly or nearly, and mean coverage.
+    """Per split and source group: records, records that training also holds, exactly or nearly, and the mean share of a picture
+    that its shared spans cover, of each record's best covered one.
 
     No pair of records is formed: a record overlaps as soon as one of its pictures does."""
     pictures = stored(picture_hashes(df, placeholders, id_col), "pictures")
-    best = overlapping_hashes(pictures, max_bits).select(*_words_as("e"), "bits").groupBy(*WORDS).agg(F.min("bits").alias("bits"))
-    hit = pictures.filter("not train").join(best, list(WORDS)).groupBy("id").agg(F.min("bits").alias("bits"))
+    best = overlapping_hashes(pictures, max_bits).select(*_words_as("e"), "bits", "covered").groupBy(*WORDS).agg(F.min("bits").alias("bits"), F.max("covered").alias("covered"))
+    hit = pictures.filter("not train").join(best, list(WORDS)).groupBy("id").agg(F.min("bits").alias("bits"), F.max("covered").alias("covered"))
     rows = df.select(F.col(id_col).alias("id"), split_name(F.col("split")).alias("split"), F.coalesce(F.lower(F.trim("source_group_id")), F.lit("")).alias("source_group"))
     rows = rows.filter("split in ('val', 'test')").join(hit, "id", "left")
     return rows.groupBy("split", "source_group").agg(
         F.count("*").alias("n_records"), F.count("bits").alias("n_overlapping"), F.count_if(F.col("bits") == 0).alias("n_exact"),
-        F.avg(1 - F.col("bits") / BITS).alias("mean_coverage"),
+        F.avg(F.col("covered") / BITS).alias("mean_coverage"),
     ).filter("n_overlapping > 0")

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from griyaflow.llm import linked_splits, overlap
 from tests.houses import clashing, image, row, table
@@ -117,23 +118,57 @@ def test_against_brute_force_with_a_picture_in_a_third_of_rows(spark):
 
 
 def test_blocks_cover_all_bits():
-    for n in (11, 12):
-        blocks = overlap.block_starts(n)
-        assert len(blocks) == n and blocks[0][0] == 0 and sum(k for _, k in blocks) == 256 and 2 * max(k for _, k in blocks) + overlap.SET_BITS < 63
-    assert overlap.agreeing_blocks(10**8, 10) == 1 and overlap.agreeing_blocks(10**10, 10) == 2
-
-
-def test_one_or_two_agreeing_blocks_find_the_same(spark):
+    blocks = overlap.block_starts(11)
+    assert len(blocks) == 11 and blocks[0][0] == 0 and sum(k for _, k in blocks) == 256 and all(a + n == b for (a, n), (b, _) in zip(blocks, blocks[1:]))
+
+
+def test_turned_texts_and_prefixes(spark):
+    rng = np.random.default_rng(8)
+    texts = [f"{int.from_bytes(rng.bytes(32), 'big'):064x}" for _ in range(20)]
+    rows = overlap.suffixes(spark.createDataFrame([(t, 1) for t in texts], "h string, side int").select("side", *overlap.hash_words("h")), 10).collect()
+    bits = {f"{int(t, 16):0256b}" for t in texts}
+    starts = [a for a, _ in overlap.block_starts(10 + 1)]
+    turned = {(r["k"], "".join(f"{r[f'r{i}'] % 2**64:064b}" for i in range(4))) for r in rows}
+    assert turned == {(k, t[a:] + t[:a]) for t in bits for k, a in enumerate(starts)}
+    r = np.array([[r[f"r{i}"] for i in range(4)] for r in rows]).view(np.uint64)
+    back = overlap._turned_back(r, np.array([starts[x["k"]] for x in rows]))
+    assert {"".join(f"{int(w):064b}" for w in x) for x in back} == bits
+    x = r[:1].repeat(257, 0)
+    y = x.copy()
+    for i in range(256):
+        y[i, i // 64] ^= np.uint64(1 << (63 - i % 64))
+    assert overlap.common_prefix(x, y).tolist() == list(range(257))
+
+
+def test_intervals_and_grid_find_what_brute_force_finds(spark, monkeypatch):
     rng = np.random.default_rng(9)
     base = [f"{int.from_bytes(rng.bytes(32), 'big'):064x}" for _ in range(20)]
     hashes = sorted({flip(base[rng.integers(20)], *rng.choice(256, size=rng.integers(0, 9), replace=False)) for _ in range(300)})
-    df = spark.createDataFrame([(h, 1 + i % 3) for i, h in enumerate(hashes)], "h string, side int")
-    words = df.select("side", *overlap.hash_words("h"))
+    words = spark.createDataFrame([(h, 1 + i % 3) for i, h in enumerate(hashes)], "h string, side int").select("side", *overlap.hash_words("h"))
     text = lambda r, n: "".join(f"{r[f'{n}{k}'] % 2**64:016x}" for k in range(4))
-    found = [{(text(r, "t"), text(r, "e"), r["bits"]) for r in overlap.near_hashes(words, agree=k).collect()} for k in (1, 2)]
     side = {h: 1 + i % 3 for i, h in enumerate(hashes)}
-    want = {(a, b, d) for a in hashes for b in hashes if side[a] & 1 and side[b] & 2 and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 10}
-    assert found[0] == want and found[1] == want
+
+    def covered(a, b):
+        x, held = f"{int(a, 16) ^ int(b, 16):0256b}" + "1", set()
+        for at, n in overlap.block_starts(11):
+            stop = x.index("1", at)
+            held |= set(range(at, stop)) if stop - at >= n else set()
+        return len(held)
+
+    want = {(a, b, d, covered(a, b)) for a in hashes for b in hashes if side[a] & 1 and side[b] & 2 and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 10}
+    for hot, block in ((1 << 22, 2048), (20, 2048), (20, 3)):
+        monkeypatch.setattr(overlap, "HOT", hot)
+        monkeypatch.setattr(overlap, "BLOCK", block)
+        assert {(text(r, "t"), text(r, "e"), r["bits"], r["covered"]) for r in overlap.near_hashes(words).collect()} == want
+
+
+def test_hot_interval_is_spread_over_tasks(spark):
+    """100,000 texts with one block in common: a grid of cells, none with more than BLOCK of a side or so."""
+    hot = spark.range(100_000).select(F.lit(0).cast("byte").alias("k"), F.lit(7).cast("long").alias("block"), F.lit(0).cast("long").alias("r0"), *[F.xxhash64("id", F.lit(i)).alias(f"r{i}") for i in (1, 2, 3)], F.when(F.col("id") % 5 == 0, 2).otherwise(1).cast("byte").alias("side"))
+    found = overlap._grid(hot, 10)
+    assert found.count() == 0
+    sizes = overlap._placed(hot).groupBy("x", "y", "bit").count().agg(F.max("count").alias("most"), F.count("*").alias("cells")).first()
+    assert sizes["most"] < 1.2 * overlap.BLOCK and sizes["cells"] == 2 * 40 * 10
 
 
 def test_large_interval_is_compared_in_blocks(spark):
