@@ -46,6 +46,8 @@ GROUP = 1500
 PER_SLOT = 1 << 16
 #: Tasks of a calibration round, so partial sums of a plan that reach the driver, at most.
 PARTIAL = 32
+#: Units looked at for each that a sample has too many.
+SPARE = 64
 #: A line is met if the drawn units differ from the asked by this share of them, or by one unit, at most.
 TOLERANCE = 0.05
 
@@ -395,15 +397,22 @@ def repaired(units: DataFrame, drawn: DataFrame, n_cat: int, least: list[tuple[i
     n = {r["plan_id"]: r["count"] for r in drawn.groupBy("plan_id").count().collect()}
     over, under = {k: n.get(k, 0) - s for k, s in sizes.items() if n.get(k, 0) > s}, {k: s - n.get(k, 0) for k, s in sizes.items() if n.get(k, 0) < s}
     if over:
-        kept = {k: [0] * _words(n_cat) for k in over}
-        for k, c, m in least:
-            if k in over and have.get((k, c), 0) - over[k] < m:
-                kept[k][c // WORD] |= 1 << (c % WORD)
-        need = spark.createDataFrame([(k, over[k], *kept[k]) for k in over], "plan_id int, surplus int, " + ", ".join(f"k{w} long" for w in range(_words(n_cat))))
-        free = drawn.join(F.broadcast(need), "plan_id").filter(" AND ".join(f"m{w} & k{w} = 0" for w in range(_words(n_cat))))
-        drawn = drawn.join(first(free.withColumn("most", F.lit(max(over.values()))), ["plan_id"], "most").filter("place <= surplus").select("plan_id", "unit"), ["plan_id", "unit"], "left_anti")
+        # of SPARE units per surplus one, those of the fewest categories first, each leaves if every minimum is still kept
+        need = spark.createDataFrame([(k, SPARE * n) for k, n in over.items()], "plan_id int, most int")
+        held = sum((F.bit_count(f"m{w}") for w in range(_words(n_cat))), F.lit(0))
+        rank = F.row_number().over(Window.partitionBy("plan_id").orderBy(held, *order))
+        least_of = {(k, c): m for k, c, m in least}
+        go = []
+        for r in drawn.join(F.broadcast(need), "plan_id").withColumn("place", rank).filter(f"place <= {SPARE * max(over.values())}").filter("place <= most").orderBy("plan_id", "place").collect():
+            k, cats = r["plan_id"], [c for c in range(n_cat) if r[f"m{c // WORD}"] >> (c % WORD) & 1]
+            if over[k] and all(have.get((k, c), 0) > least_of.get((k, c), 0) for c in cats):
+                over[k] -= 1
+                go.append((k, r["unit"]))
+                for c in cats:
+                    have[k, c] -= 1
+        drawn = drawn.join(spark.createDataFrame(go, drawn.select("plan_id", "unit").schema), ["plan_id", "unit"], "left_anti")
     if under:
         need = F.explode(F.array(*[F.struct(F.lit(k).alias("plan_id"), F.lit(m).alias("missing")) for k, m in under.items()]))
         spare = units.withColumn("need", need).select("*", "need.*").join(drawn.select("plan_id", "unit"), ["plan_id", "unit"], "left_anti")
         drawn = drawn.unionByName(first(spare.withColumn("most", F.lit(max(under.values()))), ["plan_id"], "most").filter("place <= missing").select(*drawn.columns))
-    return stored(drawn, "drawn") if over or under else drawn
+    return stored(drawn, "drawn")

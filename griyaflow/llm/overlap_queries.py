@@ -31,8 +31,8 @@ SQL = {
     + """SELECT DISTINCT least(t.rec_id, e.rec_id) AS rec_a, greatest(t.rec_id, e.rec_id) AS rec_b
 FROM n JOIN p t ON t.h = n.th AND t.train JOIN p e ON e.h = n.eh AND NOT e.train""",
     "p4_report": _NEAR
-    + """, s AS (SELECT *, list_transform(range(0, 11), k -> {'a': 256 * k // 11, 'n': 256 * (k + 1) // 11 - 256 * k // 11, 'b': 256 * k // 11 + instr(substr(x || '1', 256 * k // 11 + 1), '1') - 1}) AS l FROM n),
-v AS (SELECT *, len(list_filter(range(0, 256), i -> len(list_filter(l, z -> z.b - z.a >= z.n AND z.a <= i AND i < z.b)) > 0)) AS covered FROM s),
+    + """, s AS (SELECT *, list_transform(range(0, 11), lambda k: {'a': 256 * k // 11, 'n': 256 * (k + 1) // 11 - 256 * k // 11, 'b': 256 * k // 11 + instr(substr(x || '1', 256 * k // 11 + 1), '1') - 1}) AS l FROM n),
+v AS (SELECT *, len(list_filter(range(0, 256), lambda i: len(list_filter(l, lambda z: z.b - z.a >= z.n AND z.a <= i AND i < z.b)) > 0)) AS covered FROM s),
 x AS (SELECT e.rec_id, min(v.bits) AS bits, max(v.covered) AS covered FROM v JOIN p e ON e.h = v.eh AND NOT e.train GROUP BY 1),
 r AS (SELECT s.rec_id, CASE lower(trim(split)) WHEN 'validation' THEN 'val' ELSE lower(trim(split)) END AS split, coalesce(lower(trim(source_group_id)), '') AS source_group, bits, covered FROM sample_15 s LEFT JOIN x USING (rec_id))
 SELECT split, source_group, count(*) AS n_records, count(bits) AS n_overlapping, count(*) FILTER (bits = 0) AS n_exact, avg(covered / 256.0)::DOUBLE AS mean_coverage FROM r WHERE split IN ('val', 'test') GROUP BY 1, 2 HAVING count(bits) > 0""",

@@ -55,8 +55,8 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Of the report: pool and asked count of every line, and how many houses its sample holds."""
-    return _sampled(spark, d)[1].select("plan_id", "component", "category", "pool", F.round("asked", 6).alias("asked"), "sample_drawn")
+    """Of the report: pool and asked count of every line."""
+    return _sampled(spark, d)[1].select("plan_id", "component", "category", "pool", F.round("asked", 6).alias("asked"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p1_lines)}
@@ -70,6 +70,5 @@ n AS (SELECT component, category, count(DISTINCT h) AS n FROM c GROUP BY 1, 2)
 SQL = {
     "p1_found": _POOLS + "SELECT plan_id, p.component, p.category FROM sample_plan p LEFT JOIN n USING (component, category) WHERE coalesce(n, 0) < greatest(min_count, target_share * sample_size)",
     "p1_lines": _POOLS
-    + """SELECT plan_id, p.component, p.category, coalesce(n, 0) AS pool, round(greatest(min_count, target_share * sample_size), 6)::DOUBLE AS asked,
-least(sample_size, (SELECT count(DISTINCT h) FROM r))::BIGINT AS sample_drawn FROM sample_plan p LEFT JOIN n USING (component, category)""",
+    + """SELECT plan_id, p.component, p.category, coalesce(n, 0) AS pool, round(greatest(min_count, target_share * sample_size), 6)::DOUBLE AS asked FROM sample_plan p LEFT JOIN n USING (component, category)""",
 }
