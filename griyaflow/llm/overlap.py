@@ -72,15 +72,15 @@ def _turned(start: int) -> list[Column]:
 
 
 def suffixes(hashes: DataFrame, max_bits: int) -> DataFrame:
-    """(k, block, r0..r3, side): the suffixes of (w0..w3, side) that begin with block k, by partitions and sorted in each."""
-    each = [
-        F.struct(F.lit(k).cast("byte").alias("k"), F.shiftrightunsigned(_turned(a)[0], 64 - n).alias("block"), *_turned(a))
-        for k, (a, n) in enumerate(block_starts(max_bits + 1))
-    ]
-    rows = hashes.select(F.explode(F.array(*each)).alias("s"), F.col("side").cast("byte").alias("side")).select("s.*", "side")
+    """(at, r0..r3): the suffixes of (w0..w3, side) that begin with block k, at being 4 k + side, by partitions and sorted in each."""
+    # k and side share a number: an entry is what is shuffled most
+    each = [F.struct((F.lit(4 * k) + F.col("side")).cast("byte").alias("at"), *_turned(a)) for k, (a, _) in enumerate(block_starts(max_bits + 1))]
+    rows = hashes.withColumn("side", F.col("side").cast("int")).select(F.explode(F.array(*each)).alias("s")).select("s.*")
+    k = F.shiftright("at", 2)
+    lengths = F.element_at(F.array(*[F.lit(max(0, 64 - n)) for _, n in block_starts(max_bits + 1)]), k + 1)
     # few bytes are much work here, so partitions are asked for by number
     n = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "k", "block").sortWithinPartitions("k", "block", "r0", "r1", "r2", "r3")
+    return rows.repartition(n, k, F.expr("r0").bitwiseAND(F.call_function("shiftleft", F.lit(-1).cast("long"), lengths))).sortWithinPartitions(k, "r0", "r1", "r2", "r3")
 
 
 def picture_hashes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id") -> DataFrame:
@@ -129,6 +129,7 @@ def _found(t: np.ndarray, e: np.ndarray, start: np.ndarray) -> dict[str, np.ndar
 def _intervals(max_bits: int):
     """Scans sorted suffixes (k, block, r0..r3, side): yields near pairs of both sides, and the members of hot intervals."""
     starts_of = np.array([a for a, _ in block_starts(max_bits + 1)])
+    shift_of = np.array([max(0, 64 - n) for _, n in block_starts(max_bits + 1)], np.uint64)
     schema = pa.schema([(c.split(" ")[0], {"long": pa.int64(), "int": pa.int32(), "byte": pa.int8()}[c.split(" ")[1]]) for c in (_FOUND + _HOT).split(", ")])
 
     def batch(made: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -179,7 +180,8 @@ def _intervals(max_bits: int):
             if not b.num_rows:
                 continue
             c = [x.to_numpy(zero_copy_only=False) for x in b.columns]
-            cols = (c[0], c[1], np.stack(c[2:6], 1).view(np.uint64), c[6])
+            k, r = c[0] >> 2, np.stack(c[1:5], 1).view(np.uint64)
+            cols = (k, (r[:, 0] >> shift_of[k]).astype(np.int64), r, c[0] & 3)
             last = int(np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))[-1:].sum() + 1) if (cols[0][0], cols[1][0]) != (cols[0][-1], cols[1][-1]) else 0
             if last == 0 and (not kept or (kept[0][0][-1], kept[0][1][-1]) == (cols[0][0], cols[1][0])):
                 kept.append(cols)  # the open interval waits for the next batch

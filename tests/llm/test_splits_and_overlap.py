@@ -128,10 +128,10 @@ def test_turned_texts_and_prefixes(spark):
     rows = overlap.suffixes(spark.createDataFrame([(t, 1) for t in texts], "h string, side int").select("side", *overlap.hash_words("h")), 10).collect()
     bits = {f"{int(t, 16):0256b}" for t in texts}
     starts = [a for a, _ in overlap.block_starts(10 + 1)]
-    turned = {(r["k"], "".join(f"{r[f'r{i}'] % 2**64:064b}" for i in range(4))) for r in rows}
+    turned = {(r["at"] >> 2, "".join(f"{r[f'r{i}'] % 2**64:064b}" for i in range(4))) for r in rows}
     assert turned == {(k, t[a:] + t[:a]) for t in bits for k, a in enumerate(starts)}
     r = np.array([[r[f"r{i}"] for i in range(4)] for r in rows]).view(np.uint64)
-    back = overlap._turned_back(r, np.array([starts[x["k"]] for x in rows]))
+    back = overlap._turned_back(r, np.array([starts[x["at"] >> 2] for x in rows]))
     assert {"".join(f"{int(w):064b}" for w in x) for x in back} == bits
     x = r[:1].repeat(257, 0)
     y = x.copy()
