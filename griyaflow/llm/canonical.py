@@ -1,44 +1,44 @@
 """Free-entered values to the entries of a reference list, by a prefix-filter set-similarity join.
 
-Distinct values are normalised (case, accents, digits typed for letters, separators, order numbers and
-known descriptive words) and turned into sets of character unigrams and bigrams. Tokens are ordered by
-their rarity over all values and names; only the rare prefixes that a Jaccard bound leaves are joined,
-under length and positional filters; Jaccard is then computed exactly. Of the pairs left, an edit
-distance (adjacent swaps count once) decides whether the value means the name, and the best is kept.
+Distinct values are normalised (case, accents, digits typed for letters, separators) and read with and
+without the descriptive words at their ends. Which words are descriptive is learnt from the values: those
+that stand beside ``COMPANY`` different words of the list and are no writing of one, besides numbers and
+single letters; a list of them can be passed instead. A reading is the set of its words' characters and
+bigrams, word ends included, whatever the order of the words. Tokens are ordered by their rarity over all
+values and names; only the rare prefixes that the Jaccard bound leaves are joined, under length and
+positional filters; Jaccard is then computed exactly, and the name of the highest is what the value means.
 Names of other components take part as rivals: a value that is nearer to one of them means none of its own.
 
 Defined results: null and blank values are no mentions; a value without letters means none; of equally
-near names the own component's wins, then the higher Jaccard, then the lower ref_id; an empty reference
-list maps everything to none; texts of any length are compared whole; repeated values count each.
+near names the own component's wins, then the lower ref_id; an empty reference list maps everything to
+none; texts of any length are compared whole; repeated values count each.
 """
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from griyaflow.functions.keys import blank_to_null
 from griyaflow.runtime import stored
 
-THRESHOLD = 0.4
-#: A value means a name when this share of the longer text, at most, has to be edited.
-MAX_EDIT = 0.34
+#: Least Jaccard of a value and what it means.
+THRESHOLD = 0.51
+#: Different words of the list beside which a descriptive word is found, and largest share of letters in which a writing differs from its word.
+COMPANY, WRITING = 6, 0.34
+#: Words that make up one in so many of all words may be descriptive: at most so many.
+OFTEN = 10_000
+#: The reference list is a parameter table; a longer one is refused.
+MOST_NAMES = 100_000
 SALT = 8
 COMPONENTS = ("atap", "dinding", "lantai")
-# Words that field staff put before or after a material without changing it.
-BEFORE = ("atap dari", "dinding dari", "lantai dari", "atap", "dinding", "lantai", "bahan", "penutup", "rangka", "dr", "tampak luar", "sebagian besar", "alas", "utama", "ruang tamu", r"[a-z]", r"\d+")
-AFTER = ("bekas", "lama", "kusam", "kw ?2", "6 ?x ?9", "bocor", "retak", "warna putih", r"thn \d+", "sebagian lepas", "blm dicat")
 # Words that stand for "nothing entered".
-NOTHING = ("nan", "none", "null", "na", "unknown", "xx")
+NOTHING = ("nan", "none", "null", "na", "unknown")
 ACCENTS = ("áàâäãéèêëíìîïóòôöõúùûüñç", "aaaaaeeeeiiiiooooouuuunc")
 LEET = ("0134578 9", "oieastb g")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
-_N = len(ALPHABET) + 1
+#: Codes of a character: 0 stands before a word, the last after it.
+_N = len(ALPHABET) + 2
 
 
 def plain_text(col: Column) -> Column:
@@ -47,27 +47,40 @@ def plain_text(col: Column) -> Column:
     return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
-def readings(col: Column) -> Column:
-    """The text as it stands, without descriptions after it, and then without one or all before it: a name of the list may
-    itself begin with such a word."""
-    before, after = "(" + "|".join(BEFORE) + ") ", "( (" + "|".join(AFTER) + "))+$"
-    bare = F.regexp_replace(col, after, "")
-    return F.filter(F.array(col, bare, F.regexp_replace(bare, f"^{before}", ""), F.regexp_replace(bare, f"^({before})+", "")), lambda t: t != "")
+def _letters(words: Column) -> Column:
+    """Digits read as the letters that they stand for, words without letters left out."""
+    return F.transform(F.filter(words, lambda w: w.rlike("[a-z]")), lambda w: F.translate(w, *LEET))
+
+
+def readings(words: Column, descriptive: list[str], most: int) -> Column:
+    """The words as they are, without the descriptive ones after them, and without those before them, all or all but up to
+    ``most``, the words of the longest name: it may itself begin with such words."""
+    known = F.array(*[F.lit(w) for w in descriptive]).cast("array<string>")
+    other = F.transform(words, lambda w: ~(F.array_contains(known, w) | w.rlike(r"^(\d+|.)$")))
+    first, last, n = F.array_position(other, True).cast("int"), F.array_position(F.reverse(other), True).cast("int"), F.size(words)
+    lead, end = F.when(first == 0, 0).otherwise(first - 1), F.when(last == 0, n).otherwise(n - last + 1)
+    begins = F.array_union(F.array(F.lit(0)), F.sequence(F.greatest(F.lit(0), lead - most), lead))
+    return F.array_distinct(F.flatten(F.transform(begins, lambda at: F.array(F.slice(words, at + 1, F.greatest(F.lit(0), end - at)), F.slice(words, at + 1, n - at)))))
 
 
-def _letters(col: Column) -> Column:
-    """Digits read as the letters that they stand for, numbers alone left out, words joined."""
-    words = F.filter(F.split(col, " "), lambda w: w.rlike("[a-z]"))
-    return F.array_join(F.transform(words, lambda w: F.translate(w, *LEET)), " ")
+def _codes(words: str) -> Column:
+    """Distinct token codes of a column of words: c1 * N for a character, c1 * N + c2 for two, ends included."""
+    char = f"locate(substr(w, i, 1), '{ALPHABET}')"
+    one = f"transform(sequence(1, length(w)), i -> {char} * {_N})"
+    two = f"transform(sequence(0, length(w)), i -> CASE WHEN i = 0 THEN 0 ELSE {char} END * {_N} + CASE WHEN i = length(w) THEN {_N - 1} ELSE locate(substr(w, i + 1, 1), '{ALPHABET}') END)"
+    return F.expr(f"array_distinct(flatten(transform({words}, w -> concat({one}, {two}))))")
 
 
-def _codes(name: str) -> Column:
-    """Distinct token codes of text column ``name``: c1 * N for a unigram, c1 * N + c2 for a bigram."""
-    char = f"locate(substr({name}, i, 1), '{ALPHABET}')"
-    after = f"locate(substr({name}, i + 1, 1), '{ALPHABET}')"
-    one = f"transform(sequence(1, length({name})), i -> {char} * {_N})"
-    two = f"CASE WHEN length({name}) > 1 THEN transform(sequence(1, length({name}) - 1), i -> {char} * {_N} + {after}) ELSE cast(array() AS array<int>) END"
-    return F.expr(f"CASE WHEN {name} = '' THEN cast(array() AS array<int>) ELSE array_distinct(concat({one}, {two})) END")
+def descriptive_words(words: DataFrame, known: list[str]) -> list[str]:
+    """Descriptive words of (v, words), v telling values apart: see above. ``known``: the words of the list."""
+    each = words.select("v", F.explode(F.array_distinct("words")).alias("w"))
+    listed = words.sparkSession.createDataFrame([(w,) for w in known], "w string")
+    beside = each.join(F.broadcast(listed), "w").select("v", F.col("w").alias("near"))
+    total = each.count()
+    often = each.groupBy("w").count().filter(F.col("count") >= max(COMPANY, -(-total // OFTEN))).select("w")
+    company = each.join(F.broadcast(often), "w").join(beside, "v").filter("w <> near").groupBy("w").agg(F.count_distinct("near").alias("n")).filter(F.col("n") >= COMPANY)
+    own = F.exists(F.array(*[F.lit(w) for w in known]).cast("array<string>"), lambda k: F.levenshtein("w", k) <= F.lit(WRITING) * F.greatest(F.length("w"), F.length(k)))
+    return sorted({r["w"] for r in company.filter(~own).select("w").collect()} | set(COMPONENTS))
 
 
 def material_mentions(df: DataFrame, id_col: str = "rec_id") -> DataFrame:
@@ -79,66 +92,41 @@ def material_mentions(df: DataFrame, id_col: str = "rec_id") -> DataFrame:
 
 
 def reference_names(ref: DataFrame) -> DataFrame:
-    """(ref_id, component, name, joined) of labels and other names, in every order of up to four words."""
+    """(ref_id, component, name, words) of labels and other names."""
     names = F.array_union(F.array("label"), F.coalesce("other_names", F.array().cast("array<string>")))
     flat = ref.select("ref_id", "component", F.explode(names).alias("name")).filter(blank_to_null(F.col("name")).isNotNull())
-    flat = flat.withColumn("t", _letters(plain_text(F.col("name"))))
-
-    def orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                words = r.t.split(" ")
-                turns = itertools.permutations(words) if len(words) <= 4 else (words[k:] + words[:k] for k in range(len(words)))
-                rows += [(r.ref_id, r.component, r.name, j) for j in {"".join(w) for w in turns} if j]
-            yield pd.DataFrame(rows, columns=["ref_id", "component", "name", "joined"])
-
-    return flat.mapInPandas(orders, "ref_id int, component string, name string, joined string")
-
-
-def _edits(a: str, b: str) -> int:
-    """Edits between two texts: insert, delete, replace, swap of neighbours."""
-    if a == b:
-        return 0
-    before, last = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = last[j - 1] if x == y else 1 + min(last[j - 1], last[j], row[j - 1])
-            if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] + 1 < d:
-                d = before[j - 2] + 1
-            row.append(d)
-        before, last = last, row
-    return last[-1]
-
-
-@F.pandas_udf(T.IntegerType())
-def edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_edits(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
-
-
-def _ranked(df: DataFrame, order: list[int]) -> DataFrame:
+    return flat.withColumn("words", _letters(F.split(plain_text(F.col("name")), " "))).filter(F.size("words") > 0)
+
+
+def _ranked(df: DataFrame, order: list[int], threshold: float) -> DataFrame:
     """Tokens as rarity ranks, rarest first, with the set size and the prefix length of the bound."""
     ranks = F.array_sort(F.transform("codes", lambda c: F.element_at(F.lit(order), c + 1)))
     n = F.size("ranks")
-    return df.withColumn("ranks", ranks).withColumn("n", n).filter("n > 0").withColumn("p", (F.col("n") - F.ceil(F.col("n") * F.lit(THRESHOLD)) + 1).cast("int")).drop("codes")
+    return df.withColumn("ranks", ranks).withColumn("n", n).filter("n > 0").withColumn("p", (F.col("n") - F.ceil(F.col("n") * F.lit(threshold)) + 1).cast("int")).drop("codes")
 
 
-def canonical_map(values: DataFrame, ref: DataFrame, threshold: float = THRESHOLD, max_edit: float = MAX_EDIT) -> DataFrame:
-    """(component, value, ref_id, name, jaccard, edits) for distinct (component, value); ref_id 0 means none."""
+def canonical_map(values: DataFrame, ref: DataFrame, threshold: float = THRESHOLD, descriptive: list[str] | None = None) -> DataFrame:
+    """(component, value, ref_id, name, jaccard) for distinct (component, value); ref_id 0 means none. ``descriptive``: words that
+    say nothing of the meaning; learnt from the values where none are given."""
+    names = stored(reference_names(ref).withColumn("codes", _codes("words")), "names")
+    listed = names.select("words").limit(MOST_NAMES + 1).collect()
+    if len(listed) > MOST_NAMES:
+        raise ValueError(f"the reference list has more than {MOST_NAMES} names")
     text = plain_text(F.col("value"))
-    forms = F.explode(F.array_distinct(F.transform(readings(F.col("t")), _letters)))
-    forms = values.withColumn("t", text).filter(~F.col("t").isin(*NOTHING)).select("component", "value", forms.alias("form"))
-    forms = forms.withColumn("joined", F.replace("form", F.lit(" "), F.lit(""))).withColumn("codes", _codes("joined"))
-    names = stored(reference_names(ref).withColumn("codes", _codes("joined")), "names")
-    # rarity over all values and names; there are at most len(ALPHABET) ** 2 + len(ALPHABET) tokens
+    worded = values.withColumn("t", text).filter(~F.col("t").isin(*NOTHING)).select("component", "value", F.split("t", " ").alias("words"))
+    if descriptive is None:
+        descriptive = descriptive_words(worded.select(F.xxhash64("component", "value").alias("v"), "words"), sorted({w for r in listed for w in r["words"]}))
+    most = max((len(r["words"]) for r in listed), default=0)
+    forms = worded.select("component", "value", F.explode(F.array_distinct(F.transform(readings(F.col("words"), descriptive, most), _letters))).alias("words"))
+    forms = forms.withColumn("codes", _codes("words")).drop("words")
+    # rarity over all values and names; there are at most _N ** 2 tokens
     counts = forms.select(F.explode("codes").alias("c")).unionByName(names.select(F.explode("codes").alias("c"))).groupBy("c").count().collect()
     order = [0] * (_N * _N)
     for rank, (code, _) in enumerate(sorted(counts, key=lambda r: (r["count"], r["c"]))):
         order[code] = rank
-    left = _ranked(forms, order).withColumn("tok", F.explode(F.expr("slice(ranks, 1, p)")))
-    right = _ranked(names, order).withColumn("tok", F.explode(F.expr("slice(ranks, 1, p)")))
-    right = right.select("tok", "ref_id", F.col("component").alias("r_component"), "name", F.col("joined").alias("r_joined"), F.col("ranks").alias("r_ranks"), F.col("n").alias("r_n"))
+    left = _ranked(forms, order, threshold).withColumn("tok", F.explode(F.expr("slice(ranks, 1, p)")))
+    right = _ranked(names, order, threshold).withColumn("tok", F.explode(F.expr("slice(ranks, 1, p)")))
+    right = right.select("tok", "ref_id", F.col("component").alias("r_component"), "name", F.col("ranks").alias("r_ranks"), F.col("n").alias("r_n"))
     t = F.lit(threshold)
     need = F.ceil(t / (t + 1) * (F.col("n") + F.col("r_n")))
     upto = lambda n, ranks: F.col(n) - F.array_position(ranks, F.col("tok")) + 1
@@ -146,12 +134,10 @@ def canonical_map(values: DataFrame, ref: DataFrame, threshold: float = THRESHOL
     pairs = pairs.filter(F.least(upto("n", "ranks"), upto("r_n", "r_ranks")) >= need)
     pairs = pairs.withColumn("common", F.array_intersect("ranks", "r_ranks")).filter("common[0] = tok")  # each pair once, at its rarest common token
     pairs = pairs.withColumn("jaccard", F.size("common") / (F.col("n") + F.col("r_n") - F.size("common"))).filter(F.col("jaccard") >= t)
-    pairs = pairs.withColumn("edits", edit_distance("joined", "r_joined"))
-    far = F.col("edits") / F.greatest(F.length("joined"), F.length("r_joined"))
     own = F.col("component") == F.col("r_component")
-    best = F.min(F.struct(far.alias("far"), (~own).alias("rival"), (-F.col("jaccard")).alias("j"), F.col("ref_id").alias("id"), "name", "edits")).alias("b")
-    chosen = pairs.groupBy("component", "value").agg(best).filter((F.col("b.far") <= max_edit) & ~F.col("b.rival"))
-    found = chosen.select("component", "value", F.col("b.id").alias("ref_id"), "b.name", (-F.col("b.j")).alias("jaccard"), F.col("b.edits").alias("edits"))
+    best = F.min(F.struct((-F.col("jaccard")).alias("j"), (~own).alias("rival"), F.col("ref_id").alias("id"), "name")).alias("b")
+    chosen = pairs.groupBy("component", "value").agg(best).filter(~F.col("b.rival"))
+    found = chosen.select("component", "value", F.col("b.id").alias("ref_id"), "b.name", (-F.col("b.j")).alias("jaccard"))
     return values.join(found, ["component", "value"], "left").withColumn("ref_id", F.coalesce("ref_id", F.lit(0)))
 
 

@@ -18,7 +18,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_map(spark: SparkSession, d: str) -> DataFrame:
     """Every distinct value with the entry that it means, its likeness and how often it was typed."""
-    return _mapped(spark, d)[1].select("component", "value", "ref_id", "name", "jaccard", "edits", "n_mentions")
+    return _mapped(spark, d)[1].select("component", "value", "ref_id", "name", "jaccard", "n_mentions")
 
 
 def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
