@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from griyaflow.operators.components import least_label
@@ -78,19 +78,47 @@ def clusters(pairs: DataFrame) -> DataFrame:
     return least_label(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("v").alias("id"), F.col("label").alias("cluster"))
 
 
-def winners(members: DataFrame, records: DataFrame, priority: str) -> DataFrame:
-    """(cluster, winner, size): the member of least priority, then least id."""
-    rows = members.join(records.select("id", priority), "id")
-    return rows.groupBy("cluster").agg(F.min(F.struct(F.col(priority), F.col("id"))).alias("w"), F.count("*").alias("size")).select("cluster", F.col("w.id").alias("winner"), "size")
+# House types in the order in which their pictures are kept.
+KEPT_FIRST = ("multi", "single_interior_only", "single_exterior_only")
 
 
-def cascade(records: DataFrame, members: DataFrame, won: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pictures left (id, house) and houses (house, before, left): losers go, houses without a picture go."""
-    losers = members.join(won.select("cluster", "winner"), "cluster").filter("id <> winner").select("id")
-    left = records.join(losers, "id", "left_anti")
+def retain_order(house_type: Column, card: Column) -> Column:
+    """Less is kept first: by house type, then records with a card number."""
+    rank = F.coalesce(*[F.when(house_type == t, i) for i, t in enumerate(KEPT_FIRST)], F.lit(99))
+    return F.struct(rank.alias("type"), card.isNull().alias("crawled"))
+
+
+def winners(members: DataFrame, records: DataFrame, priority: str | Column) -> DataFrame:
+    """(cluster, winner, size): the member of least priority, then least id. Members without a record can't win, nor do they count."""
+    rows = members.join(records.select("id", (F.col(priority) if isinstance(priority, str) else priority).alias("_p")), "id")
+    return rows.groupBy("cluster").agg(F.min(F.struct("_p", "id")).alias("w"), F.count("*").alias("size")).select("cluster", F.col("w.id").alias("winner"), "size")
+
+
+def losers(members: DataFrame, won: DataFrame) -> DataFrame:
+    """(cluster, winner, loser): what each cluster drops, a row each, however large it is."""
+    return members.join(won.select("cluster", "winner"), "cluster").filter("id <> winner").select("cluster", "winner", F.col("id").alias("loser"))
+
+
+def cluster_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """(cluster, a, b, score): the pairs that made each cluster; both ends of a pair are in the same one."""
+    return pairs.join(members.select(F.col("id").alias("a"), "cluster"), "a").select("cluster", "a", "b", "score")
+
+
+def cascade(records: DataFrame, members: DataFrame, won: DataFrame, houses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pictures left (id, house, ..) and houses (house, before, left): losers go, houses without a picture go.
+
+    With ``houses`` (house, house_type) and a ``view`` in the records, houses without any picture from the start are told too, and
+    ``type_after`` is what a house is: one of both views that is left with a single picture takes its view's type, a removed one has none."""
+    left = records.join(losers(members, won).select(F.col("loser").alias("id")), "id", "left_anti")
     before = records.groupBy("house").agg(F.count("*").alias("before"))
-    after = left.groupBy("house").agg(F.count("*").alias("n"))
-    return left, before.join(after, "house", "left").select("house", "before", F.coalesce("n", F.lit(0)).alias("left"))
+    if houses is None:
+        after = left.groupBy("house").agg(F.count("*").alias("n"))
+        return left, before.join(after, "house", "left").select("house", "before", F.coalesce("n", F.lit(0)).alias("left"))
+    after = left.groupBy("house").agg(F.count("*").alias("n"), F.min("view").alias("view"))
+    rows = houses.join(before, "house", "left").join(after, "house", "left").select("house", "house_type", "view", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("n", F.lit(0)).alias("left"))
+    single = F.when(F.col("view") == "exterior", "single_exterior_only").when(F.col("view") == "interior", "single_interior_only").otherwise(F.col("house_type"))
+    kind = F.when(F.col("left") == 0, None).when((F.col("left") == 1) & (F.col("house_type") == "multi"), single).otherwise(F.col("house_type"))
+    return left, rows.withColumn("type_after", kind).drop("view")
 
 
 def first_of_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from griyaflow.functions.keys import house_key
@@ -27,9 +27,29 @@ def nearest_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     vectors = table(spark, d, "embeddings")
-    records = vectors.select(C("vec_id").alias("id"), F.floor(C("vec_id") / 2).alias("house"), "label")
+    house = F.floor(C("vec_id") / 2)
+    records = vectors.select(
+        C("vec_id").alias("id"), house.alias("house"), _house_type(house).alias("house_type"), F.when(C("label") % 2 == 0, C("label").cast("string")).alias("no_kk"),
+        F.when(C("vec_id") % 2 == 0, "exterior").otherwise("interior").alias("view"),
+    )
     members = stored(D.clusters(nearest_pairs(spark, d)), "members")
-    return records, members, stored(D.winners(members, records, "label"), "winners")
+    return records, members, stored(D.winners(members, records, D.retain_order(C("house_type"), C("no_kk"))), "winners")
+
+
+def _house_type(house: Column) -> Column:
+    """The test vectors have no houses: two each, of a type by number."""
+    return F.when(house % 4 < 2, "multi").when(house % 4 == 2, "single_interior_only").otherwise("single_exterior_only")
+
+
+def duplicate_losers(spark: SparkSession, d: str) -> DataFrame:
+    _, members, won = _clusters(spark, d)
+    return D.losers(members, won)
+
+
+def duplicate_report(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of each cluster with their likeness."""
+    pairs = stored(D.nearest_pairs(D.similar_pairs(table(spark, d, "embeddings"), threshold=THRESHOLD)), "pairs")
+    return D.cluster_pairs(pairs, D.clusters(pairs)).withColumn("score", F.round("score", 6))
 
 
 def duplicate_clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +61,10 @@ def duplicate_winners(spark: SparkSession, d: str) -> DataFrame:
 
 
 def duplicate_cascade(spark: SparkSession, d: str) -> DataFrame:
-    return D.cascade(*_clusters(spark, d))[1]
+    records, members, won = _clusters(spark, d)
+    last = table(spark, d, "embeddings").agg((F.floor(F.max("vec_id") / 2) + 1).alias("house"))  # a house that never had a picture
+    houses = records.select("house").distinct().unionByName(last).withColumn("house_type", _house_type(C("house")))
+    return D.cascade(records, members, won, houses)[1]
 
 
 def duplicate_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -94,14 +117,14 @@ def annotation_tasks(spark: SparkSession, d: str) -> DataFrame:
     return Q.annotation_tasks(rows, labels, C("house_type"))
 
 
-QUERIES = {f.__name__: f for f in (similar_pairs, nearest_pairs, duplicate_clusters, duplicate_winners, duplicate_cascade, duplicate_stats, exact_first, resume_plan, text_gate, chat_components, chat_table_text, chat_samples, annotation_tasks)}
+QUERIES = {f.__name__: f for f in (similar_pairs, nearest_pairs, duplicate_clusters, duplicate_winners, duplicate_losers, duplicate_report, duplicate_cascade, duplicate_stats, exact_first, resume_plan, text_gate, chat_components, chat_table_text, chat_samples, annotation_tasks)}
 
 _PAIRS = f"""WITH RECURSIVE sp AS (SELECT x.vec_id AS a, y.vec_id AS b, list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) AS score FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id AND list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) >= {THRESHOLD}),
 bo AS (SELECT a, b, score, a AS src, b AS other FROM sp UNION ALL SELECT a, b, score, b, a FROM sp),
 np AS (SELECT DISTINCT a, b FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, other) AS rn FROM bo) WHERE rn <= 5)"""
 _CLUSTERS = _PAIRS + """, ed AS (SELECT a AS u, b AS v FROM np UNION SELECT b, a FROM np), re(u, v) AS (SELECT u, v FROM ed UNION SELECT re.u, ed.v FROM re JOIN ed ON re.v = ed.u),
 cl AS (SELECT u AS id, least(u, min(v)) AS cluster FROM re GROUP BY u),
-wi AS (SELECT cluster, (list(id ORDER BY label, id))[1] AS winner, count(*) AS size FROM cl JOIN embeddings ON vec_id = id GROUP BY 1),
+wi AS (SELECT cluster, (list(id ORDER BY CASE WHEN vec_id // 2 % 4 < 2 THEN 0 WHEN vec_id // 2 % 4 = 2 THEN 1 ELSE 2 END, label % 2 <> 0, id))[1] AS winner, count(*) AS size FROM cl JOIN embeddings ON vec_id = id GROUP BY 1),
 lo AS (SELECT id FROM cl JOIN wi USING (cluster) WHERE id <> winner),
 ho AS (SELECT vec_id // 2 AS house, count(*) AS before, count(*) FILTER (vec_id NOT IN (SELECT id FROM lo)) AS "left" FROM embeddings GROUP BY 1)"""
 _USABLE = r"regexp_replace(regexp_replace(coalesce(text, ''), '```[a-z]*', '', 'g'), '^\s+|\s+$', '', 'g')"
@@ -130,7 +153,13 @@ SQL = {
     "nearest_pairs": _PAIRS + " SELECT a, b FROM np",
     "duplicate_clusters": _CLUSTERS + " SELECT id, cluster FROM cl",
     "duplicate_winners": _CLUSTERS + " SELECT cluster, winner, size FROM wi",
-    "duplicate_cascade": _CLUSTERS + ' SELECT house, before, "left" FROM ho',
+    "duplicate_cascade": _CLUSTERS + """, hs AS (SELECT DISTINCT vec_id // 2 AS house FROM embeddings UNION SELECT max(vec_id) // 2 + 1 FROM embeddings),
+ht AS (SELECT house, CASE WHEN house % 4 < 2 THEN 'multi' WHEN house % 4 = 2 THEN 'single_interior_only' ELSE 'single_exterior_only' END AS house_type FROM hs),
+kv AS (SELECT vec_id // 2 AS house, min(CASE WHEN vec_id % 2 = 0 THEN 'exterior' ELSE 'interior' END) AS view FROM embeddings WHERE vec_id NOT IN (SELECT id FROM lo) GROUP BY 1)
+SELECT house, house_type, coalesce(before, 0) AS before, coalesce("left", 0) AS "left", CASE WHEN coalesce("left", 0) = 0 THEN NULL WHEN "left" = 1 AND house_type = 'multi' THEN 'single_' || view || '_only' ELSE house_type END AS type_after
+FROM ht LEFT JOIN ho USING (house) LEFT JOIN kv USING (house)""",
+    "duplicate_losers": _CLUSTERS + " SELECT cluster, winner, id AS loser FROM cl JOIN wi USING (cluster) WHERE id <> winner",
+    "duplicate_report": _CLUSTERS + " SELECT cluster, a, b, round(score, 6) AS score FROM np JOIN sp USING (a, b) JOIN cl ON id = a",
     "duplicate_stats": _CLUSTERS + ' SELECT sum(before)::BIGINT AS images_before, sum("left")::BIGINT AS images_after, count(*) AS houses_before, count(*) FILTER ("left" > 0) AS houses_after, round((sum(before) - sum("left")) * 100.0 / sum(before), 2)::DOUBLE AS removed_pct FROM ho',
     "exact_first": "SELECT min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY text UNION ALL SELECT doc_id FROM documents WHERE text IS NULL",
     "resume_plan": f"WITH dc AS (SELECT doc_id, nullif(upper(trim(house_id)), '') AS house_id, lower(trim(source)) AS source, text FROM documents), ca AS (SELECT DISTINCT house_id FROM dc WHERE source = 'jawaban_model' AND {_OK}) SELECT doc_id, house_id, CASE WHEN house_id IN (SELECT house_id FROM ca WHERE house_id IS NOT NULL) THEN 'cached' ELSE 'pending' END AS plan FROM dc WHERE house_id IS NOT NULL AND house_id NOT IN (SELECT upper(trim(fields['house_id'])) FROM annotations WHERE trim(fields['house_id']) <> '')",

@@ -76,11 +76,11 @@ def view_by_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def material_values(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct materials per component, sorted, as one text each."""
+    """Distinct materials per component, in order, a row each."""
     rows = house_view(spark, d)
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("component"), C(c).alias("v")) for c in COMPONENTS]))
     distinct = rows.select(each.alias("e")).select("e.*").filter("v is not null").distinct()
-    return distinct.groupBy("component").agg(F.count("*").alias("n_values"), F.min("v").alias("first_value"), F.max("v").alias("last_value"))
+    return distinct.select("component", C("v").alias("value")).orderBy("component", "value")
 
 
 def region_volume(spark: SparkSession, d: str) -> DataFrame:
@@ -118,6 +118,6 @@ SQL = {
     "top_combos": HOUSES + "SELECT house_type, atap, dinding, lantai, count(*) AS n FROM h GROUP BY ALL ORDER BY n DESC, house_type NULLS LAST, atap NULLS LAST, dinding NULLS LAST, lantai NULLS LAST LIMIT 10",
     "label_by_split": HOUSES + " UNION ALL ".join(f"SELECT split, '{c}' AS field, {c} AS value, count(*) AS n FROM h WHERE split IS NOT NULL AND {c} IS NOT NULL GROUP BY 1, 3" for c in ("house_type", *COMPONENTS)),
     "view_by_split": HOUSES + "SELECT split, coalesce(lower(trim(i.view_type)), 'unknown') AS view, count(*) AS n FROM (SELECT split, unnest(images) AS i FROM h WHERE split IS NOT NULL) GROUP BY 1, 2",
-    "material_values": HOUSES + "SELECT component, count(DISTINCT v) AS n_values, min(v) AS first_value, max(v) AS last_value FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS component, {c} AS v FROM h" for c in COMPONENTS) + ") WHERE v IS NOT NULL GROUP BY 1",
+    "material_values": HOUSES + "SELECT DISTINCT component, v AS value FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS component, {c} AS v FROM h" for c in COMPONENTS) + ") WHERE v IS NOT NULL",
     "region_volume": "SELECT r_name, sum(cents)::BIGINT AS cents, count(DISTINCT c_custkey) AS customers FROM orders JOIN (SELECT l_orderkey, sum(round(l_extendedprice * (1 - l_discount) * 100)::BIGINT) AS cents FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
 }

@@ -217,3 +217,17 @@ def test_minted_and_merged(spark):
     source = spark.createDataFrame([(1, "k1", ["x"]), (2, "k2", ["x"]), (3, "k2", ["x"]), (4, None, ["x"]), (5, None, ["x"]), (6, "k9", [])], "o long, k string, l array<string>")
     merged = augment.merge_new(existing, source, source.filter("o = 6"), "k", "o", "l", 2)
     assert sorted((r["o"], r["origin"]) for r in merged.collect()) == [(2, "source"), (4, "source"), (6, "crawled")]
+
+
+def test_winner_by_type_then_card_then_id_and_retyping(spark):
+    records = spark.createDataFrame(
+        [(1, "h1", "single_exterior_only", "k", "exterior"), (2, "h2", "multi", None, "exterior"), (3, "h2", "multi", None, "interior"), (4, "h3", "multi", "k", "interior"), (5, "h4", "odd", "k", "exterior")],
+        "id long, house string, house_type string, no_kk string, view string",
+    )
+    members = spark.createDataFrame([(1, 1), (2, 1), (4, 1), (5, 1), (9, 1)], "id long, cluster long")
+    won = dedup.winners(members, records, dedup.retain_order(F.col("house_type"), F.col("no_kk")))
+    assert [tuple(r) for r in won.collect()] == [(1, 4, 4)]
+    houses = spark.createDataFrame([("h1", "single_exterior_only"), ("h2", "multi"), ("h3", "multi"), ("h4", "odd"), ("h5", "multi")], "house string, house_type string")
+    got = {r["house"]: (r["before"], r["left"], r["type_after"]) for r in dedup.cascade(records, members, won, houses)[1].collect()}
+    assert got == {"h1": (1, 0, None), "h2": (2, 1, "single_interior_only"), "h3": (1, 1, "single_interior_only"), "h4": (1, 0, None), "h5": (0, 0, None)}
+    assert sorted(r["loser"] for r in dedup.losers(members, won).collect()) == [1, 2, 5, 9]
