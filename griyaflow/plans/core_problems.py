@@ -83,6 +83,9 @@ FROM sample_15, unnest(range(1, len(images) + 1)) AS u(p)
 
 SQL = {
     "p5_found": _FOUND5 + "SELECT * FROM f",
+    "p5_differences": _FOUND5
+    + """SELECT f.*, CASE WHEN kind = 'missing_in_main' THEN NULL WHEN field_name = 'house_id' THEN house_id WHEN field_name = 'image_path' THEN '[' || array_to_string(ap, ', ') || ']' ELSE akel END AS main_value,
+CASE WHEN kind = 'missing_in_mirror' THEN NULL WHEN field_name = 'house_id' THEN house_id WHEN field_name = 'image_path' THEN '[' || array_to_string(bp, ', ') || ']' ELSE bkel END AS mirror_value FROM f JOIN j USING (house_id)""",
     "p5_summary": _FOUND5 + "SELECT field_name, kind, count(*) AS houses FROM f GROUP BY 1, 2",
     "p2_sample_links": _ITEMS,
 }
