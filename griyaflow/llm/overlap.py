@@ -266,6 +266,17 @@ def overlapping_pairs(df: DataFrame, placeholders: DataFrame, id_col: str = "rec
     return ev.join(tr, [*t, "salt"]).groupBy("train_id", "eval_id").agg(F.min("bits").alias("bits"))
 
 
+def overlap_classes(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> DataFrame:
+    """(train_hash, eval_hash, bits, covered, n_train, n_eval): pairs of pictures, each standing for all records that hold it. No pair of
+    records is formed; a picture's records are its rows of :func:`picture_hashes`."""
+    pictures = stored(picture_hashes(df, placeholders, id_col), "pictures")
+    counts = stored(pictures.groupBy(*WORDS).agg(F.count_if("train").alias("n_train"), F.count_if(~F.col("train")).alias("n_eval")), "counts")
+    text = lambda n: F.concat(*[F.lpad(F.lower(F.hex(f"{n}{k}")), 16, "0") for k in range(4)])
+    of = lambda n, c: counts.select(*[F.col(w).alias(f"{n}{k}") for k, w in enumerate(WORDS)], c)
+    near = overlapping_hashes(pictures, max_bits).join(of("t", "n_train"), _T).join(of("e", "n_eval"), _E)
+    return near.select(text("t").alias("train_hash"), text("e").alias("eval_hash"), "bits", "covered", "n_train", "n_eval")
+
+
 def overlap_by_split(df: DataFrame, placeholders: DataFrame, id_col: str = "rec_id", max_bits: int = MAX_BITS) -> DataFrame:
     """Per split and source group: records, records that training also holds, exactly or nearly, and the mean share of a picture
     that its shared spans cover, of each record's best covered one.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from griyaflow.llm.overlap import overlap_by_split, overlapping_pairs
+from griyaflow.llm.overlap import overlap_by_split, overlap_classes, overlapping_pairs
 from griyaflow.runtime import table
 
 
@@ -18,7 +18,12 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap_by_split(table(spark, d, "sample_15"), table(spark, d, "placeholder_hashes"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_report)}
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of pictures instead of pairs of records, with the records of each."""
+    return overlap_classes(table(spark, d, "sample_15"), table(spark, d, "placeholder_hashes")).drop("covered")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_report, p4_classes)}
 _NEAR = r"""
 WITH i AS (SELECT rec_id, CASE lower(trim(split)) WHEN 'validation' THEN 'val' ELSE lower(trim(split)) END AS s, regexp_replace(lower(trim(unnest(images).image_hash)), '^\w+:', '') AS h FROM sample_15),
 p AS (SELECT DISTINCT rec_id, s = 'train' AS train, h FROM i WHERE s IN ('train', 'val', 'test') AND regexp_full_match(h, '[0-9a-f]{64}') AND h NOT IN (SELECT image_hash FROM placeholder_hashes)),
@@ -30,6 +35,8 @@ SQL = {
     "p4_found": _NEAR
     + """SELECT DISTINCT least(t.rec_id, e.rec_id) AS rec_a, greatest(t.rec_id, e.rec_id) AS rec_b
 FROM n JOIN p t ON t.h = n.th AND t.train JOIN p e ON e.h = n.eh AND NOT e.train""",
+    "p4_classes": _NEAR
+    + """SELECT th AS train_hash, eh AS eval_hash, bits, (SELECT count(*) FROM p WHERE h = th AND train) AS n_train, (SELECT count(*) FROM p WHERE h = eh AND NOT train) AS n_eval FROM n""",
     "p4_report": _NEAR
     + """, s AS (SELECT *, list_transform(range(0, 11), lambda k: {'a': 256 * k // 11, 'n': 256 * (k + 1) // 11 - 256 * k // 11, 'b': 256 * k // 11 + instr(substr(x || '1', 256 * k // 11 + 1), '1') - 1}) AS l FROM n),
 v AS (SELECT *, len(list_filter(range(0, 256), lambda i: len(list_filter(l, lambda z: z.b - z.a >= z.n AND z.a <= i AND i < z.b)) > 0)) AS covered FROM s),
