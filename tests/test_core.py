@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from griyaflow.functions import text as X
-from griyaflow.functions.labels import LABELS
+from griyaflow.functions.labels import code_table, label_map
 from griyaflow.functions.urls import is_image_url
 from griyaflow.operators import chat, dedup, houses, keyed, ranking, reconcile, sampling
 from griyaflow.operators.components import least_label
@@ -24,8 +24,8 @@ def one(spark, value, f, kind="string"):
         (X.normalize_cell, " [ ] ", None), (X.normalize_cell, "\tNaN ", None), (X.normalize_cell, " a ", "a"), (X.clean_card_number, "123.0", "123"), (X.clean_card_number, "none", None),
         (X.digits_code, "1.0", "10"), (X.digits_code, "01", "1"), (X.digits_code, "9x", "9"), (X.digits_code, "0", "0"), (X.digits_code, "x", None),
         (X.spreadsheet_code, "1.0", "1"), (X.spreadsheet_code, "01", "01"), (X.spreadsheet_code, " ", None),
-        (lambda c: X.canonical_label(c, LABELS["dinding"]), " anyaman_BAMBU ", "Anyaman bambu"), (lambda c: X.canonical_label(c, LABELS["lantai"]), "UNCLASSIFIED", "unclassified"),
-        (lambda c: X.canonical_label(c, LABELS["lantai"]), "marmer", "marmer"), (lambda c: X.canonical_label(c, LABELS["lantai"]), " ", ""),
+        (lambda c: X.canonical_label(c, label_map("dinding")), " anyaman_BAMBU ", "Anyaman bambu"), (lambda c: X.canonical_label(c, label_map("lantai")), "UNCLASSIFIED", "unclassified"),
+        (lambda c: X.canonical_label(c, label_map("lantai")), "marmer", "marmer"),  (lambda c: X.canonical_label(c, label_map("dinding")), "Kayu papan  GYPSUM_grc calciboard", "Kayu/papan/gypsum/GRC/calciboard"), (lambda c: X.label_of_code(c, code_table("dinding")), "2.", "plesteran_anyaman_bambu/kawat"), (lambda c: X.canonical_label(c, label_map("lantai")), " ", ""),
         (X.links_of_cell, "[http://a/1.jpg, 'https://a/2', http://a/?prefix=, ftp://x]", ["http://a/1.jpg", "https://a/2"]), (X.links_of_cell, None, []), (X.links_of_cell, "[]", []),
         (X.url_extension, "http://a/b.c/d", ".jpg"), (X.url_extension, "http://a/d.PNG?x=1.gif", ".PNG"), (X.detected, "TIDAK terdeteksi", "Tidak terdeteksi"),
         (X.anomaly_mode, "anomali-12", "normal"), (X.anomaly_mode, "Anomaly 2", "flip_kept_images"), (X.anomaly_mode, "anomali_1; anomali 2", "swap_slots"), (X.keeps, None, True), (X.keeps, " keep", True), (X.keeps, "DROP", False),
@@ -211,7 +211,7 @@ def test_minted_and_merged(spark):
 
     df = spark.createDataFrame([(i, k, "a", "b", "c") for i, k in enumerate(["multi", "single_exterior_only", "single_interior_only"])], "o long, house_type string, atap string, dinding string, lantai string")
     got = sorted(tuple(r) for r in augment.minted(df, "o", 99999).select("new_id", "atap", "dinding", "lantai").collect())
-    nd = "Tidak terdeteksi"
+    nd = "Tidak Terdeteksi"
     assert got == [("H100000", "a", "b", nd), ("H100001", nd, nd, "c"), ("H99999", "a", "b", "c")]
     existing = spark.createDataFrame([("k1",), (None,)], "k string")
     source = spark.createDataFrame([(1, "k1", ["x"]), (2, "k2", ["x"]), (3, "k2", ["x"]), (4, None, ["x"]), (5, None, ["x"]), (6, "k9", [])], "o long, k string, l array<string>")
