@@ -41,11 +41,11 @@ def fill_time(lines: list[tuple[float, float]], total: float) -> float:
 
 def plan_lines(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """Plan lines with the size of all documents of their source and the size that their share asks for."""
-    sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
+    sizes = docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"), F.max("tokens").alias("longest"))
     asked = plan.select("mix_id", source_name(F.col("source")).alias("source"), "target_share", "max_repeats", "total_tokens")
     lines = asked.join(sizes, "source", "left")
     return lines.select(
-        "mix_id", "source", "target_share", "max_repeats", "total_tokens", F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"),
+        "mix_id", "source", "target_share", "max_repeats", "total_tokens", F.coalesce("longest", F.lit(0)).alias("longest"), F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"),
         (F.coalesce("source_tokens", F.lit(0)) * F.col("max_repeats")).alias("available_tokens"), (F.col("target_share") * F.col("total_tokens")).alias("asked_tokens"),
     )
 
@@ -61,11 +61,13 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 42) -> tuple[DataFrame, Da
         own = [r for r in told if r["mix_id"] == m]
         t = fill_time([(r["target_share"], float(r["available_tokens"])) for r in own], float(own[0]["total_tokens"]))
         span = t if t < float("inf") else max(r["available_tokens"] / r["target_share"] for r in own)
+        # whole documents lag behind shares by the longest of each source at most: by then the budget is surely used up
+        last = fill_time([(r["target_share"], float(r["available_tokens"])) for r in own], float(own[0]["total_tokens"] + sum(r["longest"] for r in own))) * (1 + 1e-9)
         for r in own:
-            copies = min(r["max_repeats"], int(FAR * span * r["target_share"] / r["source_tokens"]) + 1)
-            rows.append((m, r["source"], float(r["target_share"]), int(r["source_tokens"]), int(copies), float(span), int(r["total_tokens"])))
+            copies = min(r["max_repeats"], int(last * r["target_share"] / r["source_tokens"]) + 1 if last < float("inf") else r["max_repeats"])
+            rows.append((m, r["source"], float(r["target_share"]), int(r["source_tokens"]), int(copies), float(span), float(last), int(r["total_tokens"])))
     spark = docs.sparkSession
-    use = spark.createDataFrame(rows, "mix_id int, source string, share double, source_tokens long, copies int, span double, total long")
+    use = spark.createDataFrame(rows, "mix_id int, source string, share double, source_tokens long, copies int, span double, last double, total long")
     placed = docs.join(F.broadcast(use), "source").withColumn("o", F.xxhash64("doc_id", "mix_id", F.lit(seed).cast("long"))).withColumn("r", F.shiftrightunsigned("o", 54))
     sums = placed.groupBy("mix_id", "source", "r").agg(F.sum("tokens").alias("w"))
     upto = sums.select("mix_id", "source", "r", (F.sum("w").over(Window.partitionBy("mix_id", "source").orderBy("r")) - F.col("w")).alias("before"))
@@ -74,7 +76,7 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 42) -> tuple[DataFrame, Da
     queued = placed.join(upto, ["mix_id", "source", "r"]).withColumn("upto", F.col("before") + within)
     copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     copies = copies.withColumn("finish", ((F.col("copy") - 1) * F.col("source_tokens") + F.col("upto")) / F.col("share"))
-    copies = copies.withColumn("at", F.floor(F.least(F.col("finish") / F.col("span"), F.lit(float(FAR))) * TIMES))
+    copies = copies.filter("finish <= last").withColumn("at", F.floor(F.least(F.col("finish") / F.col("span"), F.lit(float(FAR))) * TIMES))
     copies = stored(copies.select("mix_id", "source", "doc_id", "copy", "tokens", "finish", "at", "total"), "queued")
     per_range = copies.groupBy("mix_id", "at").agg(F.sum("tokens").alias("w"))
     done = per_range.select("mix_id", "at", (F.sum("w").over(Window.partitionBy("mix_id").orderBy("at")) - F.col("w")).alias("done"))
@@ -88,4 +90,4 @@ def mix_report(mixed: DataFrame, lines: DataFrame) -> DataFrame:
     got = mixed.groupBy("mix_id", "source").agg(F.sum("tokens").alias("mixed_tokens"), F.count("*").alias("mixed_copies"), F.max("copy").alias("repeats"))
     whole = F.sum("mixed_tokens").over(Window.partitionBy("mix_id"))
     out = lines.join(got, ["mix_id", "source"], "left").fillna(0, ["mixed_tokens", "mixed_copies", "repeats"])
-    return out.withColumn("actual_share", F.coalesce(F.try_divide(F.col("mixed_tokens"), whole), F.lit(0.0))).withColumn("short", F.col("available_tokens") < F.col("asked_tokens"))
+    return out.drop("longest").withColumn("actual_share", F.coalesce(F.try_divide(F.col("mixed_tokens"), whole), F.lit(0.0))).withColumn("short", F.col("available_tokens") < F.col("asked_tokens"))
